@@ -33,9 +33,11 @@ def _splice(code: Column, pattern: str, replacement: str, k: Column) -> Column:
     return F.array_join(joined, "")
 
 
-def mutation_choice(code, key, seed: int = C.SHUFFLE_SEED, rules=C.BUG_RULES) -> Column:
-    """Struct(rule, k): the first rule (in a seeded order) that matches and the
-    seeded occurrence to mutate; NULL when no rule matches."""
+def mutation_choices(code, key, seed: int = C.SHUFFLE_SEED, rules=C.BUG_RULES) -> Column:
+    """Array of at most one struct(rule, k): the first rule (in a seeded order)
+    that matches and the seeded occurrence to mutate; empty when no rule
+    matches. ``explode`` it to keep only mutable rows without a filter that
+    would be pushed below (and re-evaluate) the choice."""
     c = F.coalesce(col_(code), F.lit(""))
     cands = []
     for ix, (pat, _) in enumerate(rules):
@@ -43,9 +45,15 @@ def mutation_choice(code, key, seed: int = C.SHUFFLE_SEED, rules=C.BUG_RULES) ->
             F.md5(F.concat(F.lit(f"{seed}:"), col_(key).cast("string"), F.lit(f":rule{ix}"))).alias("order"),
             F.lit(ix).alias("rule"),
             F.regexp_count(c, F.lit(pat)).alias("n")))
-    chosen = F.try_element_at(F.array_sort(F.filter(F.array(*cands), lambda s: s.getField("n") > 0)), F.lit(1))
-    k = F.pmod(seeded_hash(seed, key, "occurrence"), chosen.getField("n"))
-    return F.when(chosen.isNotNull(), F.struct(chosen.getField("rule").alias("rule"), k.alias("k")))
+    first = F.slice(F.array_sort(F.filter(F.array(*cands), lambda s: s.getField("n") > 0)), 1, 1)
+    occ = seeded_hash(seed, key, "occurrence")
+    return F.transform(first, lambda s: F.struct(s.getField("rule").alias("rule"),
+                                                  F.pmod(occ, s.getField("n")).alias("k")))
+
+
+def mutation_choice(code, key, seed: int = C.SHUFFLE_SEED, rules=C.BUG_RULES) -> Column:
+    """The single element of ``mutation_choices`` or NULL."""
+    return F.try_element_at(mutation_choices(code, key, seed, rules), F.lit(1))
 
 
 def apply_mutation(code, rule, k, rules=C.BUG_RULES) -> Column:

@@ -117,11 +117,44 @@ def percent(x, digits: int = 1) -> Column:
     return F.format_string(f"%.{digits}f%%", col_(x) * F.lit(100.0))
 
 
+def raw_lines(text) -> Column:
+    """Split at every ``str.splitlines`` boundary, keeping a trailing empty piece."""
+    return F.split(F.coalesce(col_(text), F.lit("")), LINE_BREAK_RE, -1)
+
+
+def drop_trailing_empty(parts) -> Column:
+    p = col_(parts)
+    return F.when(F.try_element_at(p, F.lit(-1)) == F.lit(""), F.slice(p, 1, F.size(p) - 1)).otherwise(p)
+
+
 def split_lines(text) -> Column:
-    """``str.splitlines()``: split at every line boundary, no trailing empty line."""
-    parts = F.split(F.coalesce(col_(text), F.lit("")), LINE_BREAK_RE, -1)
-    return F.when(F.try_element_at(parts, F.lit(-1)) == F.lit(""),
-                  F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    """``str.splitlines()``: split at every line boundary, no trailing empty line.
+    (In plans, prefer ``with_lines``, which splits each text once.)"""
+    return drop_trailing_empty(raw_lines(text))
+
+
+def with_lines(df, text: str, out: str = "lines"):
+    """Add ``out`` = splitlines(text), staged so the text is split once per row
+    (a non-cheap column referenced several times is not re-inlined)."""
+    return (df.withColumn("_raw_lines", raw_lines(text))
+              .withColumn(out, drop_trailing_empty("_raw_lines")).drop("_raw_lines"))
+
+
+def doctest_candidates_from_lines(lines) -> Column:
+    """X3 over an already split ``lines`` column (see ``doctest_candidates``)."""
+    lines = col_(lines)
+    n = F.size(lines)
+    nexts = F.when(n > 1, F.slice(lines, 2, n - 1)).otherwise(F.array().cast("array<string>"))
+
+    def pair(line, nxt):
+        stripped = strip_py(line)
+        expr = strip_py(F.substring(stripped, 5, 1 << 30))
+        expected = strip_py(nxt)
+        keep = (nxt.isNotNull() & stripped.startswith(">>> ") & (expected != F.lit(""))
+                & ~expected.startswith(">>> ") & ~expr.startswith("print("))
+        return F.when(keep, F.concat(F.lit("assert ("), expr, F.lit(") == ("), expected, F.lit(")")))
+
+    return F.filter(F.zip_with(lines, nexts, pair), lambda x: x.isNotNull())
 
 
 def doctest_candidates(prompt) -> Column:

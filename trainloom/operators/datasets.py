@@ -10,7 +10,7 @@ from trainloom import config as C
 from trainloom.config import JobParams
 from trainloom.functions import messages as M
 from trainloom.functions import text as T
-from trainloom.functions.mutation import apply_mutation, mutation_choice, seeded_order_key
+from trainloom.functions.mutation import apply_mutation, mutation_choices, seeded_order_key
 from trainloom.operators.filters import domain_filter
 from trainloom.operators.sampling import seeded_cap
 
@@ -103,7 +103,7 @@ def repair_sft(df: DataFrame, key: str = "task_id", params: JobParams | None = N
     cand = cand.filter((F.col("gold") != "") & (F.size("tests") > 0))
     # Rows without a matching rule are skipped (this is the empty-message
     # filter F2: a skipped row has no trajectory). The splice runs after it.
-    cand = cand.withColumn("ch", mutation_choice("gold", key, p.seed)).filter(F.col("ch").isNotNull())
+    cand = cand.select(key, "gold", "tests", "problem", F.explode(mutation_choices("gold", key, p.seed)).alias("ch"))
     cand = cand.select(key, "gold", "tests", "problem", F.col("ch.rule").alias("rule"),
                        apply_mutation("gold", "ch.rule", "ch.k").alias("mutated_code"))
     public = F.try_element_at("tests", F.lit(1))

@@ -115,10 +115,11 @@ def q_repair_sft(spark: SparkSession, sf: str) -> DataFrame:
 def q_mutations(spark: SparkSession, sf: str) -> DataFrame:
     """M8 over every task with gold code."""
     t = Derived(spark, sf).tasks()
-    m = t.select("task_id", F.col("code"), T.strip_py("code").alias("gold"))
-    from trainloom.functions.mutation import apply_mutation, mutation_choice
-    m = m.filter(F.col("gold") != "").withColumn("ch", mutation_choice("gold", "task_id"))
-    return m.filter(F.col("ch").isNotNull()).select(
+    m = t.select("task_id", T.strip_py("code").alias("gold"))
+    from trainloom.functions.mutation import apply_mutation, mutation_choices
+    m = m.filter(F.col("gold") != "").select("task_id", "gold",
+                                             F.explode(mutation_choices("gold", "task_id")).alias("ch"))
+    return m.select(
         "task_id", F.col("ch.rule").cast("bigint").alias("rule"),
         apply_mutation("gold", "ch.rule", "ch.k").alias("mutated_code"))
 
@@ -171,16 +172,21 @@ def q_think_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- doctests -------------------------------------------------------------------
 
-def q_doctest_candidates(spark: SparkSession, sf: str) -> DataFrame:
+def _doctest_lines(spark, sf):
     p = Derived(spark, sf).doctest_prompts()
-    return (p.select("doc_id", F.posexplode(T.doctest_candidates("prompt")).alias("test_ix", "assert_text"))
+    return T.with_lines(p.select("doc_id", "prompt"), "prompt").select("doc_id", "lines")
+
+
+def q_doctest_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    p = _doctest_lines(spark, sf)
+    return (p.select("doc_id", F.posexplode(T.doctest_candidates_from_lines("lines")).alias("test_ix", "assert_text"))
              .withColumn("test_ix", F.col("test_ix").cast("bigint")))
 
 
 def q_doctest_asserts(spark: SparkSession, sf: str) -> DataFrame:
     """X3 complete: candidates that parse as Python (X4, Arrow UDF)."""
-    p = Derived(spark, sf).doctest_prompts()
-    kept = p.select("doc_id", keep_parsable(T.doctest_candidates("prompt")).alias("tests"))
+    p = _doctest_lines(spark, sf)
+    kept = p.select("doc_id", keep_parsable(T.doctest_candidates_from_lines("lines")).alias("tests"))
     return (kept.select("doc_id", F.posexplode("tests").alias("test_ix", "assert_text"))
                 .withColumn("test_ix", F.col("test_ix").cast("bigint")))
 

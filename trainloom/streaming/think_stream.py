@@ -33,6 +33,8 @@ class ThinkSplitter:
     def feed(self, delta: str, final: bool = False) -> list[tuple[str, str]]:
         self.pending += delta or ""
         out: list[tuple[str, str]] = []
+        if not final and len(self.pending) <= HOLD_BACK:
+            return out
         while True:
             tag = C.THINK_CLOSE if self.in_think else C.THINK_OPEN
             channel = "think" if self.in_think else "answer"
@@ -77,7 +79,7 @@ def _split_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out_answer.append("".join(acc["answer"]))
 
     for pdf in batches:
-        for rid, chunk in zip(pdf["reply_id"], pdf["chunk"]):
+        for rid, chunk in zip(pdf["reply_id"].tolist(), pdf["chunk"].tolist()):
             if rid != cur:
                 if cur is not None:
                     close()
