@@ -11,6 +11,7 @@ from trainloom.config import JobParams
 from trainloom.functions import messages as M
 from trainloom.functions import text as T
 from trainloom.functions.mutation import apply_mutation, mutation_choices, seeded_order_key
+from trainloom.operators.conversations import to_messages
 from trainloom.operators.filters import domain_filter
 from trainloom.operators.sampling import seeded_cap
 
@@ -118,6 +119,22 @@ def repair_sft(df: DataFrame, key: str = "task_id", params: JobParams | None = N
     return capped.select(key, "rule", "mutated_code", msgs.alias("messages"))
 
 
+def conversation_token_lengths(turns: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """M10 estimate of each conversation's rendered length (system prompt
+    added when its first turn is not a system turn), from per-turn lengths
+    only: one aggregate row per conversation, combined map-side."""
+    sys_len = len(C.TEMPLATE_HEADER_OPEN) + len("system") + len(C.TEMPLATE_HEADER_CLOSE) \
+        + len(C.CODE_SYSTEM_PROMPT) + len(C.TEMPLATE_EOT)
+    per_conv = turns.groupBy(key).agg(
+        F.sum(M.rendered_piece_length("role", "text")).alias("chars"),
+        F.min(order).alias("first_turn"),
+        F.min(F.when(F.col("role") == "system", F.col(order))).alias("first_system_turn"))
+    # numeric aggregates only (hash aggregation): is the first turn a system turn?
+    needs_sys = F.coalesce(F.col("first_system_turn") != F.col("first_turn"), F.lit(True))
+    total = F.lit(len(C.TEMPLATE_BOS)) + F.col("chars") + F.when(needs_sys, F.lit(sys_len)).otherwise(F.lit(0))
+    return per_conv.select(key, F.floor((total + F.lit(3)) / F.lit(4)).cast("bigint").alias("token_length"))
+
+
 def sft_records(turns: DataFrame, params: JobParams | None = None, n: int | None = None,
                 max_tokens: int | None = None, key: str = "conv_id", order: str = "turn",
                 broadcast_limit: int | None = None) -> DataFrame:
@@ -134,22 +151,12 @@ def sft_records(turns: DataFrame, params: JobParams | None = None, n: int | None
     p = params or JobParams()
     max_tokens = p.max_seq_length if max_tokens is None else max_tokens
     limit = p.broadcast_row_limit if broadcast_limit is None else broadcast_limit
-    sys_len = len(C.TEMPLATE_HEADER_OPEN) + len("system") + len(C.TEMPLATE_HEADER_CLOSE) \
-        + len(C.CODE_SYSTEM_PROMPT) + len(C.TEMPLATE_EOT)
     t = turns.select(key, order, "role", "text")
-    per_conv = t.groupBy(key).agg(
-        F.sum(M.rendered_piece_length("role", "text")).alias("chars"),
-        F.min_by("role", F.col(order)).alias("first_role"),
-        F.count(F.lit(1)).alias("n_turns"))
-    needs_sys = F.coalesce(F.col("first_role") != "system", F.lit(True))
-    total = F.lit(len(C.TEMPLATE_BOS)) + F.col("chars") + F.when(needs_sys, F.lit(sys_len)).otherwise(F.lit(0))
-    est = F.floor((total + F.lit(3)) / F.lit(4)).cast("bigint")
-    fits = per_conv.withColumn("token_length", est).filter(F.col("token_length") <= max_tokens)
+    fits = conversation_token_lengths(t, key, order).filter(F.col("token_length") <= max_tokens)
     chosen = seeded_cap(fits, key, n, p.seed).select(key, "token_length")
     if n and n <= limit:
         chosen = F.broadcast(chosen)
     rows = t.join(chosen, key, "left_semi")
-    from trainloom.operators.conversations import to_messages
     recs = to_messages(rows, key, order).join(chosen, key)
     msgs = M.ensure_system("messages")
     return recs.select(key, F.size(msgs).alias("n_messages"), M.render_chat(msgs).alias("text"),

@@ -55,7 +55,7 @@ def q_sft_records_capped(spark: SparkSession, sf: str) -> DataFrame:
 def q_length_accounting(spark: SparkSession, sf: str) -> DataFrame:
     """A13 + F3: conversations loaded / kept / removed by the token limit."""
     d = Derived(spark, sf)
-    recs = DS.sft_records(d.table("conversations"), JobParams(), n=None, max_tokens=10 ** 12)
+    recs = DS.conversation_token_lengths(d.table("conversations").select("conv_id", "turn", "role", "text"))
     keep = F.col("token_length") <= C.MAX_SEQ_LENGTH
     return recs.agg(F.count(F.lit(1)).alias("loaded"), F.count_if(keep).alias("kept"),
                     F.count_if(~keep).alias("removed"))
