@@ -71,9 +71,14 @@ def q_sft_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_general_sft(spark: SparkSession, sf: str) -> DataFrame:
-    recs = CV.to_messages(Derived(spark, sf).table("conversations"))
-    out = DS.general_sft(recs, key="conv_id", n=50)
-    return explode_messages(out, "conv_id")
+    """M16 over conversation turns. The seeded cap depends on the id only, so
+    it runs on the distinct ids first and only the chosen conversations are
+    gathered into message arrays (same rows as capping after the gather)."""
+    turns = Derived(spark, sf).table("conversations")
+    ids = DS.general_sft(turns.select("conv_id").distinct().withColumn("messages", F.lit(None)),
+                         key="conv_id", n=50).select("conv_id")
+    recs = CV.to_messages(turns.join(F.broadcast(ids), "conv_id", "left_semi"))
+    return explode_messages(recs, "conv_id")
 
 
 def q_sharegpt_messages(spark: SparkSession, sf: str) -> DataFrame:
