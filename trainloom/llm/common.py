@@ -27,7 +27,7 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,10 +56,11 @@ def window_hashes(h: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     n = len(h) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
+    # Multilinear in the words with odd factors, then mixed.
     out = np.full(n, salted(seed), np.uint64)
     for i in range(width):
-        out = mix64(out + h[i:i + n])
-    return out
+        out += h[i:i + n] * (salted(seed * 64 + i + 101) | np.uint64(1))
+    return mix64(out)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 40) -> DataFrame:

@@ -25,6 +25,7 @@ from trainloom.llm.common import components, mix64, salted, window_hashes, write
 
 _WORD = re.compile(r"\w+")
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 25, 5, 0.8
+PIVOT_ROUNDS, BLOCK_TEXTS, BLOCK_UNITS = 2, 1_000, 1_000_000
 
 
 def units(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -134,6 +135,59 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", (1 - F.col("n") / F.col("u")).alias("d"), (F.col("n") >= threshold * F.col("u") - 1e-9).alias("linked"))
 
 
+def _cross(group: pa.Table, threshold: float) -> pa.Table:
+    """Linked texts of different classes in a group, one link for each text and class.
+
+    Intersections come from an inverted index over the group's unit regions.
+    """
+    digest, label = group["digest"].to_pylist(), group["label"].to_pylist()
+    lists = group["units"].combine_chunks()
+    flat = lists.flatten().to_numpy()
+    ends = np.cumsum([len(x) for x in lists])
+    begins = np.concatenate(([0], ends[:-1]))
+    sizes = ends - begins
+    _, unit = np.unique(flat, return_inverse=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(unit, kind="stable")]
+    post = np.concatenate(([0], np.cumsum(np.bincount(unit))))
+    _, kind = np.unique(np.array(label, object), return_inverse=True)
+    a, b = [], []
+    for x in range(len(sizes)):
+        mine = unit[begins[x]:ends[x]]
+        n = post[mine + 1] - post[mine]
+        at = np.arange(n.sum()) + np.repeat(post[mine] - np.concatenate(([0], np.cumsum(n)[:-1])), n)
+        common = np.bincount(owner[at], minlength=len(sizes))
+        hits = np.flatnonzero((common >= threshold * (sizes + sizes[x] - common) - 1e-9) & (kind != kind[x]) & (sizes > 0))
+        for y in hits[np.unique(kind[hits], return_index=True)[1]].tolist():
+            a.append(min(digest[x], digest[y]))
+            b.append(max(digest[x], digest[y]))
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _cross_links(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between texts of different classes that are joined by shared buckets.
+
+    Buckets that still mix classes hang together in clumps. A clump is dealt into
+    blocks of about ``BLOCK_TEXTS`` texts or ``BLOCK_UNITS`` unit regions; each pair
+    of blocks is compared in one task, so no task holds a whole clump and no pair
+    of unlinked texts leaves its task.
+    """
+    def compare(group: pa.Table) -> pa.Table:
+        return _cross(group, threshold)
+
+    hubs = rows.groupBy("band").agg(F.min("digest").alias("hub"))
+    clumps = components(rows.join(hubs, "band").where("digest <> hub").select(F.col("digest").alias("a"), F.col("hub").alias("b")))
+    texts = (rows.select("digest", "label").distinct()
+             .join(clumps.select(F.col("node").alias("digest"), F.col("label").alias("clump")), "digest", "left")
+             .select("digest", "label", F.coalesce("clump", "digest").alias("clump")).join(sets, "digest"))
+    texts = write_shared(texts, "clumps")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum(F.size("units")) / BLOCK_UNITS)).cast("int")
+    sized = texts.groupBy("clump").agg(blocks.alias("blocks"))
+    dealt = texts.join(sized, "clump").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (dealt.select("clump", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "digest", "label", "units")
+            .groupBy("clump", "i", "j").applyInArrow(compare, "a binary, b binary"))
+
+
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, bands: int = BANDS,
             rows: int = ROWS, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(documents with their digest, nodes with their class) in the shared folder.
@@ -143,11 +197,10 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     nodes, so copies cost one row each. Links are exact: two texts that share a
     band and reach the threshold end in one class.
 
-    Rounds: every member of a band bucket is compared with the bucket's pivot
-    (one pair per member, not all pairs). Buckets whose members are then still
-    in different classes are compared again with another pivot, and at last each
-    member outside the bucket's largest class with all members of other classes,
-    except pairs that the triangle inequality on distances to the pivot rules out.
+    Rounds: every text of a shared bucket is compared with one pivot (one pair per
+    text, not all pairs). Texts in buckets that still mix classes are then compared
+    with a member of the bucket's largest class, another one in each round. What is
+    still mixed is compared block by block (``_cross_links``).
     """
     digest = F.unhex(F.md5(F.coalesce(df[text_col].cast("string"), F.lit("")).cast("binary")))
     source = df.select(df[id_col].cast("long").alias("doc_id"), digest.alias("digest"), df[text_col].cast("string").alias("text"))
@@ -165,32 +218,33 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     def pair_up(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    first = members.where("digest <> pivot").select(*pair_up("digest", "pivot")).distinct()
+    # Each text meets the pivot of smallest hash among those of its buckets.
+    nearest = members.groupBy("digest").agg(F.min(F.struct(F.xxhash64("pivot"), "pivot"))["pivot"].alias("pivot"))
+    first = nearest.where("digest <> pivot").select(*pair_up("digest", "pivot")).distinct()
     checked = write_shared(_verified(first, sets, threshold), "checked")
     labels = components(checked.where("linked"))
-    for last in (False, True):
-        named = (members.where("n > 2").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-                 .select("band", "digest", "pivot", F.coalesce("label", "digest").alias("label")))
-        per_class = named.groupBy("band", "label").agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("digest", F.lit(1)), "digest"))["digest"].alias("other"))
+    for turn in range(PIVOT_ROUNDS + 1):
+        named = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
+            "band", "digest", F.coalesce("label", "digest").alias("label"))
+        per_class = named.groupBy("band", "label").agg(
+            F.count("*").alias("m"), F.min(F.struct(F.xxhash64("digest", F.lit(turn)), "digest"))["digest"].alias("other"))
         mixed = per_class.groupBy("band").agg(F.max(F.struct("m", "label", "other")).alias("top"), F.count("*").alias("k")).where("k > 1")
         open_rows = named.join(mixed.select("band", F.col("top.label").alias("big"), F.col("top.other").alias("other")), "band")
-        if not last:
-            pairs = open_rows.where("label <> big").select(*pair_up("digest", "other"))
+        stray = open_rows.where("label <> big")
+        if turn < PIVOT_ROUNDS:
+            # One member of each class a stray text meets, another in each round.
+            met = stray.groupBy("digest", "big").agg(F.min(F.struct(F.xxhash64("other", F.lit(turn)), "other"))["other"].alias("other"))
+            pairs = met.select(*pair_up("digest", "other"))
         else:
-            near = checked.select(F.col("a").alias("digest"), F.col("b").alias("pivot"), "d").unionByName(
-                checked.select(F.col("b").alias("digest"), F.col("a").alias("pivot"), "d"))
-            placed = open_rows.join(near, ["digest", "pivot"], "left").withColumn("d", F.when(F.col("digest") == F.col("pivot"), 0.0).otherwise(F.col("d")))
-            stray = placed.where("label <> big").select("band", F.col("digest").alias("x"), F.col("label").alias("lx"), F.col("d").alias("dx"))
-            pairs = (stray.join(placed, "band").where("lx <> label")
-                     .where(F.coalesce(F.abs(F.col("dx") - F.col("d")) <= 1 - threshold + 1e-9, F.lit(True)))
-                     .select(*pair_up("x", "digest")))
+            linked = write_shared(_cross_links(open_rows.select("band", "digest", "label"), sets, threshold), "cross-links")
+            if not linked.isEmpty():
+                labels = components(checked.where("linked").select("a", "b").unionByName(linked))
+            break
         pairs = write_shared(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "more-pairs")
-        if pairs.isEmpty():
-            if last:
-                break
-            continue
-        checked = write_shared(checked.unionByName(_verified(pairs, sets, threshold)), "checked")
-        labels = components(checked.where("linked"))
+        more = write_shared(_verified(pairs, sets, threshold), "checked")
+        checked = checked.unionByName(more)
+        if not more.where("linked").isEmpty():
+            labels = components(checked.where("linked"))
     nodes = nodes.select("digest", "doc", "copies").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     return signed.select("doc_id", "digest"), nodes.select("digest", "doc", "copies", F.coalesce("label", "digest").alias("label"))
 

@@ -1,9 +1,10 @@
 """Removal of long repeated passages with prefix-partitioned suffix trees.
 
 A window is ``width`` consecutive words. Every suffix that could share a window
-with another text is reached through a sampled start: of the ``prefix``-word
-strings inside a window, the one of smallest hash (the leftmost of equal ones) is
-the window's anchor, so equal windows have equal anchors at equal places.
+with another text is reached through a sampled start: the place of the window's word of
+smallest hash (the leftmost of equal ones), modulo the number of ``prefix``-word
+strings in a window, names the string that is the window's anchor. Equal windows
+have equal anchors at equal places, and neighbours mostly share theirs.
 
 1. Prefix partition: count the texts that hold each anchor prefix. A prefix in
    one text only cannot lead to a repeat and goes.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from trainloom.llm.common import window_hashes, write_shared
 
-WIDTH, PREFIX, GROUP_ROWS = 13, 5, 4_000
+WIDTH, PREFIX, GROUP_ROWS = 13, 7, 4_000
 # Fixed value: words are runs of anything but these characters.
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -53,13 +54,10 @@ def anchors(h: np.ndarray, width: int, prefix: int) -> tuple[np.ndarray, np.ndar
     if len(h) < width:
         empty = np.empty(0, np.int64)
         return empty, empty, np.empty(0, np.uint64)
-    p = window_hashes(h, prefix)
-    span = width - prefix + 1
-    start = np.arange(len(p) - span + 1)
-    at = start + sliding_window_view(p, span).argmin(axis=1)
-    # Window starts in order have anchors in order.
-    distinct = at[np.concatenate(([True], at[1:] != at[:-1]))]
-    return at, distinct, p[distinct]
+    first = sliding_window_view(h, width).argmin(axis=1)
+    at = np.arange(len(first)) + first % (width - prefix + 1)
+    distinct = np.unique(at)
+    return at, distinct, window_hashes(h, prefix)[distinct]
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,13 +92,16 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Ite
             yield out()
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int, large: bool) -> Iterator[pa.RecordBatch]:
-    """Suffixes of a text at its shared anchors.
+SUFFIX = "prefix long, w1 long, w2 long, doc_id long, position int, windows int, around binary"
 
-    For small groups, one row per anchor: prefix, doc, position, the windows it
+
+def _suffixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
+    """Suffixes of the texts at their shared anchors.
+
+    In small groups, one row per anchor: prefix, doc, position, the windows it
     anchors (bit l: the one that starts l words before it) and 32-bit hashes of
-    the words around it. For large groups, one row per window: 128 hash bits of
-    its words, doc and start.
+    the words around it. In overfull groups, one row per window: 128 hash bits of
+    its words, doc and start (``around`` is null).
     """
     reach = width - prefix
     span = 2 * reach + prefix
@@ -109,24 +110,25 @@ def _suffixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int, large:
         for i, (text, shared, overfull) in enumerate(zip(batch.column("text"), batch.column("prefixes"), batch.column("overfull"))):
             h = word_hashes(words_of(text.as_py()))
             at, distinct, hashes = anchors(h, width, prefix)
-            chosen = shared.values.to_numpy()[overfull.values.to_numpy(zero_copy_only=False).astype(bool) == large]
-            keep = np.isin(hashes.view(np.int64), chosen)
-            if not keep.any():
-                continue
-            distinct, hashes = distinct[keep], hashes[keep]
-            starts = np.flatnonzero(np.isin(at, distinct))
-            if large:
-                a, b = (window_hashes(h, width, seed)[starts].view(np.int64) for seed in (1, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(starts), docs[i], np.int64)), pa.array(starts.astype(np.int32))],
-                                                 ["w1", "w2", "doc_id", "start"])
-                continue
-            bits = np.zeros(len(distinct), np.int32)
-            np.bitwise_or.at(bits, np.searchsorted(distinct, at[starts]), (1 << (at[starts] - starts)).astype(np.int32))
+            chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
+            keys = hashes.view(np.int64)
+            small = distinct[np.isin(keys, chosen[~large])]
+            starts = np.flatnonzero(np.isin(at, small))
+            bits = np.zeros(len(small), np.int32)
+            np.bitwise_or.at(bits, np.searchsorted(small, at[starts]), (1 << (at[starts] - starts)).astype(np.int32))
             short = np.concatenate((np.zeros(reach, np.uint32), (h >> np.uint64(32)).astype(np.uint32), np.zeros(reach, np.uint32)))
-            around = sliding_window_view(short, span)[distinct]
+            around = np.ascontiguousarray(sliding_window_view(short, span)[small]).tobytes() if len(small) else b""
+            long = np.flatnonzero(np.isin(at, distinct[np.isin(keys, chosen[large])])) if large.any() else np.empty(0, np.int64)
+            a, b = (window_hashes(h, width, seed)[long].view(np.int64) if len(long) else np.empty(0, np.int64) for seed in (1, 2))
+            n, m, none = len(small), len(long), np.empty(0, np.int64)
+            step = 4 * span
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(np.full(len(distinct), docs[i], np.int64)), pa.array(distinct.astype(np.int32)),
-                 pa.array(bits), pa.array([r.tobytes() for r in around], pa.binary())], ["prefix", "doc_id", "position", "windows", "around"])
+                [pa.array(np.concatenate((keys[np.searchsorted(distinct, small)] if n else none, np.zeros(m, np.int64)))),
+                 pa.array(np.concatenate((np.zeros(n, np.int64), a))), pa.array(np.concatenate((np.zeros(n, np.int64), b))),
+                 pa.array(np.full(n + m, docs[i], np.int64)), pa.array(np.concatenate((small, long)).astype(np.int32)),
+                 pa.array(np.concatenate((bits, np.zeros(m, np.int32))).astype(np.int32)),
+                 pa.array([around[step * k:step * (k + 1)] for k in range(n)] + [None] * m, pa.binary())],
+                [c.split()[0] for c in SUFFIX.split(", ")])
 
 
 def covered_by_tree(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, around: np.ndarray, width: int, reach: int) -> np.ndarray:
@@ -237,12 +239,11 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         "doc_id", "text_key", F.col("p.prefix").alias("prefixes"), F.col("p.overfull").alias("overfull"))
     texts = write_shared(source.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "suffix-texts")
 
-    small = (texts.mapInArrow(partial(_suffixes, width=width, prefix=prefix, large=False),
-                              "prefix long, doc_id long, position int, windows int, around binary")
+    suffixes = write_shared(texts.mapInArrow(partial(_suffixes, width=width, prefix=prefix), SUFFIX), "suffixes")
+    small = (suffixes.where("around is not null").select("prefix", "doc_id", "position", "windows", "around")
              .repartition("prefix").sortWithinPartitions("prefix")
              .mapInArrow(partial(_trees, width=width, prefix=prefix), "doc_id long, position int, covered int"))
-    windows = texts.where(F.exists("overfull", lambda o: o)).mapInArrow(
-        partial(_suffixes, width=width, prefix=prefix, large=True), "w1 long, w2 long, doc_id long, start int")
+    windows = suffixes.where("around is null").select("w1", "w2", "doc_id", F.col("position").alias("start"))
     smallest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     long = windows.join(smallest.select("w1", "w2", "low"), ["w1", "w2"]).where("doc_id > low").select(
         "doc_id", F.col("start").alias("position"), F.lit(1).alias("covered"))
