@@ -15,6 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,19 +37,24 @@ def sigmoid(x):
     return 0.5 * (1.0 + np.tanh(0.5 * np.asarray(x, float)))
 
 
-def vocabulary(positive: list[set[str]], unlabelled: list[set[str]], least: int, z: float, most: int) -> list[str]:
-    """Words whose share among toxic examples differs from that in unlabelled text by ``z`` deviations."""
-    from collections import Counter
-    p, u = Counter(w for s in positive for w in s), Counter(w for s in unlabelled for w in s)
+def hashed(features: set[str]) -> np.ndarray:
+    return np.sort(np.fromiter(map(xxhash.xxh64_intdigest, features), np.uint64, len(features)))
+
+
+def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int, z: float, most: int) -> np.ndarray:
+    """Sorted hashes of the features whose share among toxic examples differs from that in unlabelled text by ``z`` deviations."""
     n, m = max(1, len(positive)), max(1, len(unlabelled))
-    found = []
-    for w in p.keys() | u.keys():
-        if p[w] + u[w] >= least:
-            pool = (p[w] + u[w]) / (n + m)
-            score = abs(p[w] / n - u[w] / m) / np.sqrt(pool * (1 - pool) * (1 / n + 1 / m) + 1e-12)
-            if score >= z:
-                found.append((-score, w))
-    return [w for _, w in sorted(found)[:most]]
+    names, counts = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
+    names = names[counts >= least]
+    p, u = (np.zeros(len(names)), np.zeros(len(names)))
+    for rows, into in ((positive, p), (unlabelled, u)):
+        found, number = np.unique(np.concatenate(rows), return_counts=True)
+        common = np.isin(found, names, assume_unique=True)
+        into[np.searchsorted(names, found[common])] = number[common]
+    pool = (p + u) / (n + m)
+    score = np.abs(p / n - u / m) / np.sqrt(pool * (1 - pool) * (1 / n + 1 / m) + 1e-12)
+    telling = np.flatnonzero(score >= z)
+    return np.sort(names[telling[np.lexsort((names[telling], -score[telling]))][:most]])
 
 
 def nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, seed: int, steps: int = 1_500, batch: int = 512, rate: float = 0.05,
@@ -95,20 +101,29 @@ class Model:
         return float(sigmoid(logits).mean())
 
 
-def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [hashed(words(t.as_py())).tobytes() for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["positive", "features"])
+
+
+def _names(batches: Iterator[pa.RecordBatch], chosen: frozenset[int]) -> Iterator[pa.RecordBatch]:
+    """Features whose hash is chosen, once per task."""
+    seen: set[str] = set()
     for batch in batches:
-        sets = [sorted(words(t.as_py())) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.string()))], ["positive", "words"])
+        for t in batch.column(1):
+            seen.update(w for w in words(t.as_py()) - seen if xxhash.xxh64_intdigest(w) in chosen)
+    yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], ["name"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          max_positive: int = 2_000, max_unlabelled: int = 6_000, least: int = 5, z: float = 7.0, most: int = 20_000,
+          max_positive: int = 1_500, max_unlabelled: int = 4_500, least: int = 5, z: float = 7.0, most: int = 5_000,
           classifiers: int = 3, seed: int = 5) -> Model:
     """Fit on toxic examples and unlabelled text of ``docs``; ``labels`` holds the training labels only.
 
     The prior is the share of toxic rows among all training labels. At most about
     ``max_positive`` toxic and ``max_unlabelled`` other documents (any, whatever
-    their label) are gathered, chosen by a hash of the id, as sets of words.
+    their label) are gathered, chosen by a hash of the id, as sets of hashed features.
     Without a toxic label every text scores the same low value.
     """
     clean = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
@@ -128,23 +143,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     positive = rows.join(F.broadcast(chosen), "id").select(F.lit(True).alias("positive"), "text")
     unlabelled = rows.where(drawn("id", max_unlabelled, n_docs, 1)).select(F.lit(False).alias("positive"), "text")
-    sample = positive.unionByName(unlabelled).mapInArrow(_word_sets, "positive boolean, words array<string>").toArrow()
+    sample = positive.unionByName(unlabelled)
+    table = sample.mapInArrow(_hashed_rows, "positive boolean, features binary").toArrow()
     # Copies count once, else the words of a much-copied toxic text would look telling.
-    pairs = sorted({(p, tuple(w)) for p, w in zip(sample["positive"].to_pylist(), sample["words"].to_pylist())})
-    pos, unl = [set(w) for p, w in pairs if p], [set(w) for p, w in pairs if not p]
+    rows = sorted(set(zip(table["positive"].to_pylist(), table["features"].to_pylist())))
+    del table
+    pos, unl = ([np.frombuffer(f, np.uint64) for p, f in rows if p == kind] for kind in (True, False))
     if not pos or not unl:
         return Model({}, [float(np.log(prior / (1 - prior)))])
     names = vocabulary(pos, unl, least, z, most)
-    place = {w: i for i, w in enumerate(names)}
 
-    def matrix(sets: list[set[str]]) -> np.ndarray:
+    def matrix(sets: list[np.ndarray]) -> np.ndarray:
         x = np.zeros((len(sets), len(names)), np.float32)
         for i, s in enumerate(sets):
-            x[i, [place[w] for w in s & place.keys()]] = 1.0
+            x[i, np.searchsorted(names, s[np.isin(s, names)])] = 1.0
         return x
 
-    fitted = [nnpu(matrix(pos), matrix(unl), prior, seed + i) for i in range(classifiers)]
-    return Model({w: [float(f[0][i]) for f in fitted] for i, w in enumerate(names) if any(f[0][i] for f in fitted)}, [f[1] for f in fitted])
+    x_pos, x_unl = matrix(pos), matrix(unl)
+    del pos, unl, rows
+    fitted = [nnpu(x_pos, x_unl, prior, seed + i) for i in range(classifiers)]
+    kept = {int(h): [float(f[0][i]) for f in fitted] for i, h in enumerate(names) if any(f[0][i] for f in fitted)}
+    found = sample.mapInArrow(partial(_names, chosen=frozenset(kept)), "name string").distinct().toArrow()  # at most ``most`` names
+    return Model({w: kept[xxhash.xxh64_intdigest(w)] for w in found["name"].to_pylist()}, [f[1] for f in fitted])
 
 
 def fit_outside_fold(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", fold: int = 2, **options) -> Model:
