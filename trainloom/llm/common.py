@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_RECORD: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]):
+    """Within the block, note the shared tables that are written in ``paths``."""
+    _RECORD.append(paths)
+    try:
+        yield
+    finally:
+        _RECORD.pop()
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete shared tables that nothing reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -27,6 +49,8 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    for paths in _RECORD:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
