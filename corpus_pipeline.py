@@ -10,26 +10,46 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from trainloom.llm import exact, minhash, packing, substring, toxicity
-from trainloom.llm.common import documents, write_shared
+from trainloom.llm.common import documents, recorded, release, write_shared
 
+# Tables that the latest stage wrote on its way. A stage's result is written
+# before the next stage starts, so that one deletes them.
+_SCRATCH: list[str] = []
 
+
+def _stage(operator):
+    """A stage function that first deletes the tables of the stage before."""
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _SCRATCH)
+        with recorded(_SCRATCH):
+            return operator(spark, docs, sf_dir)
+    run_stage.__name__, run_stage.__doc__ = operator.__name__, operator.__doc__
+    return run_stage
+
+
+
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit_outside_fold(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
 
+@_stage
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_copies(docs)
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.drop_near_duplicates(docs)
 
 
+@_stage
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return substring.cut_repeats(docs)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
