@@ -65,6 +65,30 @@ def test_pass_fraction_rules(spark):
     assert got == {"t1": 1.0, "t2": 0.0, "t3": 1 / 3}
 
 
+def test_pass_fraction_of_a_part_of_the_tests(spark):
+    cands = spark.createDataFrame([("t1", 0, ["b", "c"], 1), ("t2", 0, ["a"], 0)],
+                                  "task_id string, sample_ix int, tests array<string>, first_ix int")
+    outs = spark.createDataFrame([("t1", 0, 0, True), ("t1", 0, 2, True), ("t1", 0, 2, True), ("t2", 0, 0, True)],
+                                 "task_id string, sample_ix int, test_ix int, passed boolean")
+    got = {r.task_id: (r.n_tests, r.n_passed) for r in SC.pass_fraction(cands, outs, first_ix="first_ix").collect()}
+    assert got == {"t1": (2, 1), "t2": (1, 1)}
+
+
+def test_pass_at_1_counts_tasks_without_rollouts(spark):
+    from trainloom.operators import evaluation as EV
+    tasks = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "task_id string")
+    graded = spark.createDataFrame([("s", "a", True), ("s", "b", False)], "setting string, task_id string, ok boolean")
+    rates = EV.pass_at_1(EV.graded_tasks(tasks, graded, ["s", "t"])).collect()
+    assert {r.setting: (r.pass_at_1, r.n) for r in rates} == {"s": (0.25, 4), "t": (0.0, 4)}
+
+
+def test_step_deviation_of_equal_scores_is_zero(spark):
+    from trainloom.operators import metrics as ME
+    df = spark.range(100_000).selectExpr("0 as step", "cast(id % 500 as string) as task_id", "cast(id / 500 as int) as sample_ix",
+                                         "0.7D as score", "10 as completion_chars")
+    assert ME.step_metrics(df).first().reward_std == 0.0
+
+
 def test_split_tests(spark):
     df = spark.createDataFrame([([],), (["a"],), (["a", "b"],), (["a", "b", "c"],), (None,)], "t array<string>")
     pub, hid = DS.split_tests("t")

@@ -9,13 +9,13 @@ from dataclasses import dataclass, field
 # training records, prompts and reports are compared against them.
 # ---------------------------------------------------------------------------
 CODE_SYSTEM_PROMPT = (
-    "You are AgentLight, a careful coding assistant. Think step by step inside "
+    "You are a careful coding assistant. Think step by step inside "
     "<think> </think> tags, then output the final solution as a single Python "
     "code block:\n```python\n# your code here\n```\n"
     "Define the requested function(s) at module top level."
 )
 CHAT_SYSTEM_PROMPT = (
-    "You are AgentLight, a careful coding assistant. Answer directly and "
+    "You are a careful coding assistant. Answer directly and "
     "concisely. When the task is to write code, put the final solution in a "
     "single Python code block."
 )

@@ -54,7 +54,7 @@ def ensure_system(msgs, system_prompt: str = C.CODE_SYSTEM_PROMPT) -> Column:
 
 
 def header(role) -> Column:
-    return F.concat(F.lit(C.TEMPLATE_HEADER_OPEN), col_(role), F.lit(C.TEMPLATE_HEADER_CLOSE))
+    return F.concat(F.lit(C.TEMPLATE_HEADER_OPEN), F.coalesce(col_(role), F.lit("user")), F.lit(C.TEMPLATE_HEADER_CLOSE))
 
 
 def rendered_piece(role, content) -> Column:
@@ -64,7 +64,7 @@ def rendered_piece(role, content) -> Column:
 
 def rendered_piece_length(role, content) -> Column:
     return (F.lit(len(C.TEMPLATE_HEADER_OPEN) + len(C.TEMPLATE_HEADER_CLOSE) + len(C.TEMPLATE_EOT))
-            + F.length(col_(role)) + F.coalesce(F.length(col_(content)), F.lit(0)))
+            + F.length(F.coalesce(col_(role), F.lit("user"))) + F.coalesce(F.length(col_(content)), F.lit(0)))
 
 
 def render_chat(msgs) -> Column:

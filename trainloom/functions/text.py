@@ -113,8 +113,25 @@ def token_estimate(text) -> Column:
 
 
 def percent(x, digits: int = 1) -> Column:
-    """``{:.1%}`` formatting."""
-    return F.format_string(f"%.{digits}f%%", col_(x) * F.lit(100.0))
+    """``{:.1%}`` formatting of a rate (not negative): the double's exact value
+    is rounded, ties to the even digit.
+
+    The fraction of a double is a multiple of 2**-52 (or smaller: ``rest``), so
+    scaled by 2**52 it divides exactly in integers.
+    """
+    y = col_(x) * F.lit(100.0)
+    whole = F.floor(y)
+    scaled = (y - whole) * F.lit(2.0 ** 52)
+    bits = F.floor(scaled)
+    rest = scaled > bits
+    tens = bits * F.lit(10 ** digits)
+    down = F.shiftright(tens, 52)
+    over = tens - F.shiftleft(down, 52)
+    half = F.lit(1 << 51)
+    up = (over > half) | ((over == half) & (rest | (down % 2 == 1)))
+    n = whole * F.lit(10 ** digits) + down + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    shown = F.format_string(f"%d.%0{digits}d%%", F.floor(n / F.lit(10 ** digits)), n % F.lit(10 ** digits))
+    return F.when(y.isNotNull(), shown)
 
 
 def raw_lines(text) -> Column:

@@ -39,6 +39,13 @@ def grade(selected: DataFrame, hidden: DataFrame, keys=("task_id", "sample_ix"))
             .withColumn("ok", F.coalesce(F.col("ok"), F.lit(False))))
 
 
+def graded_tasks(tasks: DataFrame, graded: DataFrame, settings: list[str]) -> DataFrame:
+    """setting, task_id, ok for every task and setting; a task without a graded row has failed."""
+    every = tasks.select("task_id", F.explode(F.array(*map(F.lit, settings))).alias("setting"))
+    return every.join(graded.select("setting", "task_id", "ok"), ["setting", "task_id"], "left").select(
+        "setting", "task_id", F.coalesce("ok", F.lit(False)).alias("ok"))
+
+
 def pass_at_1(graded: DataFrame, by=("setting",)) -> DataFrame:
     """Passed / tasks and the task count per setting (0 tasks -> NULL)."""
     return graded.groupBy(*by).agg(

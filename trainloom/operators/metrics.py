@@ -25,7 +25,7 @@ def rollout_groups(scored: DataFrame, n: int = C.NUM_GENERATIONS,
     return (scored.groupBy("step", "task_id", group_index("sample_ix", n).alias("grp"))
             .agg(F.count(F.lit(1)).alias("n"),
                  F.min("score").alias("lo"), F.max("score").alias("hi"),
-                 F.sum("score").alias("s1"), F.sum(F.col("score") * F.col("score")).alias("s2"),
+                 F.sum("score").alias("s1"),
                  F.sum("completion_chars").alias("chars"), F.max("completion_chars").alias("chars_max"),
                  F.count_if(trunc).alias("n_trunc"))
             .withColumn("zero_variance", (F.col("n") > 1) & ((F.col("hi") - F.col("lo")) < C.ZERO_VARIANCE_EPS)))
@@ -43,15 +43,19 @@ def step_metrics(scored: DataFrame, timing: DataFrame | None = None, n: int = C.
     g = rollout_groups(scored, n, max_completion_length)
     cnt = F.sum("n")
     mean = F.sum("s1") / cnt
-    var = F.greatest(F.sum("s2") / cnt - mean * mean, F.lit(0.0))
+    # stddev_pop merges (count, mean, M2) and stays exact for equal scores.
+    spread = scored.groupBy("step").agg(
+        F.when(F.max("score") > F.min("score"), F.stddev_pop("score")).otherwise(F.lit(0.0)).alias("reward_std"))
     out = (g.groupBy("step")
            .agg(mean.alias("reward_mean"),
-                F.when(cnt > 1, F.sqrt(var)).otherwise(F.lit(0.0)).alias("reward_std"),
                 F.count_if("zero_variance").cast("int").alias("zero_variance_groups"),
                 F.count(F.lit(1)).cast("int").alias("num_groups"),
                 (F.sum("chars") / cnt).alias("completion_chars_mean"),
                 F.max("chars_max").cast("int").alias("completion_chars_max"),
-                (F.sum("n_trunc") / cnt).alias("truncation_rate_approx")))
+                (F.sum("n_trunc") / cnt).alias("truncation_rate_approx"))
+           .join(spread, "step")
+           .select("step", "reward_mean", "reward_std", "zero_variance_groups", "num_groups", "completion_chars_mean",
+                   "completion_chars_max", "truncation_rate_approx"))
     if timing is None:
         return (out.withColumn("sec_per_step", F.lit(None).cast("double"))
                    .withColumn("peak_vram_gb", F.lit(None).cast("double")))

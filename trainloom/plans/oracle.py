@@ -90,18 +90,21 @@ VERDICTS = ("v AS (SELECT task_id, sample_ix, test_ix, bool_or(coalesce(passed,
             "FROM outcomes GROUP BY ALL)")
 
 
-def scored_cte(name: str, tests_expr: str) -> str:
+def scored_cte(name: str, tests_expr: str, first: str = "0") -> str:
     """Candidates with pass counts over ``tests_expr`` (a list from tasks t)."""
     return f"""
-{name}_c AS (SELECT r.*, coalesce({tests_expr}, []::VARCHAR[]) AS tests FROM rollouts r LEFT JOIN tasks t USING (task_id)),
+{name}_c AS (SELECT r.*, coalesce({tests_expr}, []::VARCHAR[]) AS tests, {first} AS first_ix FROM rollouts r LEFT JOIN tasks t USING (task_id)),
 {name}_np AS (SELECT c.task_id, c.sample_ix, count(*) AS n_passed FROM {name}_c c JOIN v
-   ON c.task_id = v.task_id AND c.sample_ix = v.sample_ix AND v.test_ix < len(c.tests) AND v.passed GROUP BY ALL),
+   ON c.task_id = v.task_id AND c.sample_ix = v.sample_ix AND v.test_ix >= c.first_ix AND v.test_ix < c.first_ix + len(c.tests) AND v.passed GROUP BY ALL),
 {name} AS (SELECT c.*, len(c.tests) AS n_tests, coalesce(np.n_passed, 0) AS n_passed,
    CASE WHEN len(c.tests) > 0 THEN coalesce(np.n_passed, 0) / len(c.tests) ELSE 0.0 END AS frac
    FROM {name}_c c LEFT JOIN {name}_np np USING (task_id, sample_ix))"""
 
 
-BASE = f"WITH {TASKS}, {ROLLOUTS}, {OUTCOMES}, {VERDICTS}, {scored_cte('scored', 't.test_list')}"
+# A task of several tests shows its first one; the others are hidden and alone count for rewards and grades.
+HIDDEN_TESTS = "CASE WHEN len(t.test_list) > 1 THEN t.test_list[2:] ELSE t.test_list END"
+HIDDEN_FIRST = "CASE WHEN len(t.test_list) > 1 THEN 1 ELSE 0 END"
+BASE = f"WITH {TASKS}, {ROLLOUTS}, {OUTCOMES}, {VERDICTS}, {scored_cte('scored', HIDDEN_TESTS, HIDDEN_FIRST)}"
 
 
 # -- E1 -------------------------------------------------------------------------
@@ -349,21 +352,13 @@ EVAL = f"""{BASE}, {scored_cte('pubs', 'list_slice(t.test_list, 1, 1)')},
 cand AS (SELECT task_id, sample_ix, {extract_code('completion')} AS code, n_tests > 0 AS has_public,
                 frac AS public_frac, ran_ok,
                 CASE WHEN n_tests > 0 THEN frac WHEN ran_ok THEN 1.0 ELSE 0.0 END AS select_score FROM pubs),
-hid AS (SELECT r.task_id, r.sample_ix,
-          CASE WHEN len(t.test_list) > 1 THEN len(t.test_list) - 1 ELSE coalesce(len(t.test_list), 0) END AS n_hidden,
-          len(t.test_list) AS n_all FROM rollouts r LEFT JOIN tasks t USING (task_id)),
-hp AS (SELECT h.task_id, h.sample_ix, count(o.test_ix) AS n_pass FROM hid h JOIN outcomes o
-         ON h.task_id = o.task_id AND h.sample_ix = o.sample_ix AND o.passed
-        AND ((h.n_all > 1 AND o.test_ix >= 1 AND o.test_ix < h.n_all) OR (h.n_all = 1 AND o.test_ix = 0))
-       GROUP BY ALL),
-graded AS (SELECT h.task_id, h.sample_ix, h.n_hidden > 0 AND coalesce(hp.n_pass, 0) = h.n_hidden AS ok
-           FROM hid h LEFT JOIN hp USING (task_id, sample_ix)),
+graded AS (SELECT task_id, sample_ix, n_tests > 0 AND n_passed = n_tests AS ok FROM scored),
 best4 AS (SELECT task_id, arg_max(sample_ix, struct_pack(s := select_score, i := -sample_ix)) AS sample_ix,
                  max(select_score) AS select_score FROM cand WHERE sample_ix < 4 GROUP BY task_id),
 best1 AS (SELECT task_id, sample_ix FROM cand WHERE sample_ix < 1),
 att AS (SELECT s.task_id, s.sample_ix AS iter, {extract_code('s.completion')} AS code, s.frac AS score, s.ran_ok,
                coalesce(len(t.test_list) > 0, false) AS has_tests
-        FROM scored s LEFT JOIN tasks t USING (task_id) WHERE s.sample_ix < {C.MAX_ITERS}),
+        FROM pubs s LEFT JOIN tasks t USING (task_id) WHERE s.sample_ix < {C.MAX_ITERS}),
 att2 AS (SELECT *, CASE WHEN has_tests THEN score >= 1.0 ELSE ran_ok END AS success FROM att),
 ag AS (SELECT task_id, any_value(has_tests) AS has_tests, min(iter) FILTER (WHERE success) AS success_iter,
           arg_min(code, iter) FILTER (WHERE success) AS success_code,
@@ -387,25 +382,26 @@ BEST_ATTEMPT = f"""{EVAL}
 SELECT task_id, code, round(score, 6) AS score, CAST(iterations AS BIGINT) AS iterations FROM agent"""
 
 PASS_AT_1 = f"""{EVAL},
-allg AS (SELECT 'single_shot' AS setting, b.task_id, coalesce(g.ok, false) AS ok FROM best1 b
-           LEFT JOIN graded g USING (task_id, sample_ix)
-         UNION ALL SELECT 'best_of_4', b.task_id, coalesce(g.ok, false) FROM best4 b
-           LEFT JOIN graded g USING (task_id, sample_ix)
-         UNION ALL SELECT 'agentic', a.task_id, coalesce(g.ok, false) FROM agent a
-           LEFT JOIN graded g ON a.task_id = g.task_id AND a.chosen_iter = g.sample_ix),
+won AS (SELECT 'single_shot' AS setting, task_id, sample_ix FROM best1
+        UNION ALL SELECT 'best_of_4', task_id, sample_ix FROM best4
+        UNION ALL SELECT 'agentic', task_id, chosen_iter FROM agent),
+allg AS (SELECT e.setting, t.task_id, coalesce(g.ok, false) AS ok
+         FROM tasks t, (SELECT unnest(['single_shot', 'best_of_4', 'agentic']) AS setting) e
+         LEFT JOIN won w ON w.setting = e.setting AND w.task_id = t.task_id
+         LEFT JOIN graded g ON g.task_id = w.task_id AND g.sample_ix = w.sample_ix),
 rates AS (SELECT setting, count_if(ok) / count(*) AS rate, count(*) AS n FROM allg GROUP BY setting)
 SELECT setting, round(rate, 6) AS pass_at_1, CAST(n AS BIGINT) AS n, printf('%.1f%%', 100.0 * rate) AS pass_at_1_text
 FROM rates"""
 
 _OBS = (f"CASE WHEN has_tests THEN {lit(C.OBS_TESTS_FAILED)} ELSE {lit(C.OBS_EXEC_ERROR)} END || "
         f"substr(coalesce(nullif(stderr, ''), stdout, ''), 1, {C.OBS_MAX_CHARS}) || {lit(C.OBS_FIX_SUFFIX)}")
-REVISE_TRANSCRIPT = f"""{BASE},
+REVISE_TRANSCRIPT = f"""{BASE}, {scored_cte('pubs', 'list_slice(t.test_list, 1, 1)')},
 tk AS (SELECT task_id, {strip("coalesce(nullif(text, ''), nullif(prompt, ''), '')")} AS problem,
-              coalesce(test_list, []::VARCHAR[]) AS tests, len(coalesce(test_list, []::VARCHAR[])) > 0 AS has_tests
+              list_slice(coalesce(test_list, []::VARCHAR[]), 1, 1) AS tests, len(coalesce(test_list, []::VARCHAR[])) > 0 AS has_tests
        FROM tasks),
 a AS (SELECT s.task_id, s.sample_ix AS iter, s.completion AS reply, tk.has_tests, s.stdout, s.stderr,
              coalesce(CASE WHEN tk.has_tests THEN s.frac >= 1.0 ELSE s.ran_ok END, false) AS success
-      FROM scored s JOIN tk USING (task_id) WHERE s.sample_ix < {C.MAX_ITERS}),
+      FROM pubs s JOIN tk USING (task_id) WHERE s.sample_ix < {C.MAX_ITERS}),
 st AS (SELECT task_id, min(iter) FILTER (WHERE success) AS stop FROM a GROUP BY task_id),
 k AS (SELECT a.* FROM a JOIN st USING (task_id) WHERE st.stop IS NULL OR a.iter <= st.stop),
 rows AS (

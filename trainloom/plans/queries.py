@@ -198,12 +198,21 @@ def q_doctest_asserts(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- E2: scoring and telemetry ------------------------------------------------------
 
-def _scored(d: Derived) -> DataFrame:
-    """J1 + J4 + A1 over all rollouts."""
+def _graded(d: Derived, hidden: bool) -> DataFrame:
+    """J1 + J4 + A1 over all rollouts, on the tasks' hidden or public tests (M6)."""
     r = d.rollouts()
-    cands = SC.attach_tests(r, d.tasks().withColumnRenamed("test_setup_code", "setup"), "test_list")
-    frac = SC.pass_fraction(cands, d.outcomes(r))
-    return r.join(frac, ["task_id", "sample_ix"])
+    lists = DS.split_tests("test_list")
+    first = F.when(F.size("test_list") > 1, F.lit(1)).otherwise(F.lit(0)) if hidden else F.lit(0)
+    tasks = d.tasks().select("task_id", lists[hidden].alias("chosen"), first.alias("first_ix"),
+                             F.col("test_setup_code").alias("setup"))
+    cands = SC.attach_tests(r.select("task_id", "sample_ix"), tasks, "chosen").join(
+        tasks.select("task_id", "first_ix"), "task_id", "left").withColumn("first_ix", F.coalesce("first_ix", F.lit(0)))
+    return r.join(SC.pass_fraction(cands, d.outcomes(r), first_ix="first_ix"), ["task_id", "sample_ix"])
+
+
+def _scored(d: Derived) -> DataFrame:
+    """Rollouts with their reward fraction: hidden tests only."""
+    return _graded(d, hidden=True)
 
 
 def q_pass_fraction(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,30 +294,15 @@ def q_curriculum_accounting(spark: SparkSession, sf: str) -> DataFrame:
 
 def _candidates(d: Derived) -> DataFrame:
     """Every rollout as a candidate with its public-test fraction."""
-    r = d.rollouts()
-    tasks = d.tasks().select("task_id", "test_list", F.slice(F.coalesce("test_list", F.array()), 1, 1)
-                             .alias("public_tests"), F.col("test_setup_code").alias("setup"))
-    cands = SC.attach_tests(r, tasks, "public_tests")
-    pub = SC.pass_fraction(cands, d.outcomes(r))
-    return (r.join(pub, ["task_id", "sample_ix"])
-             .select("task_id", "sample_ix", T.extract_code("completion").alias("code"),
-                     (F.col("n_tests") > 0).alias("has_public"), F.col("frac").alias("public_frac"), "ran_ok"))
+    return _graded(d, hidden=False).select(
+        "task_id", "sample_ix", T.extract_code("completion").alias("code"),
+        (F.col("n_tests") > 0).alias("has_public"), F.col("frac").alias("public_frac"), "ran_ok")
 
 
 def _hidden_outcomes(d: Derived) -> DataFrame:
-    """Verdicts on the hidden tests (M6: rest, or the only test)."""
-    t = d.tasks().select("task_id", F.size("test_list").alias("n_all"))
-    o = d.outcomes().join(t, "task_id")
-    hidden = ((F.col("n_all") > 1) & (F.col("test_ix") >= 1) & (F.col("test_ix") < F.col("n_all"))) | \
-             ((F.col("n_all") == 1) & (F.col("test_ix") == 0))
-    graded = (d.rollouts().select("task_id", "sample_ix").join(t, "task_id", "left")
-              .withColumn("n_hidden", F.when(F.col("n_all") > 1, F.col("n_all") - 1)
-                          .otherwise(F.coalesce(F.col("n_all"), F.lit(0)))))
-    passed = o.filter(hidden & F.col("passed")).groupBy("task_id", "sample_ix").agg(
-        F.count(F.lit(1)).alias("n_pass"))
-    g = graded.join(passed, ["task_id", "sample_ix"], "left")
-    ok = (F.col("n_hidden") > 0) & (F.coalesce(F.col("n_pass"), F.lit(0)) == F.col("n_hidden"))
-    return g.select("task_id", "sample_ix", ok.alias("passed"))
+    """Verdict on all hidden tests per rollout; no hidden test -> failed."""
+    ok = (F.col("n_tests") > 0) & (F.col("n_passed") == F.col("n_tests"))
+    return _graded(d, hidden=True).select("task_id", "sample_ix", ok.alias("passed"))
 
 
 def q_best_of_k(spark: SparkSession, sf: str) -> DataFrame:
@@ -318,7 +312,8 @@ def q_best_of_k(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _attempts(d: Derived) -> DataFrame:
-    s = _scored(d)
+    """Attempts of the agentic loop, which sees public tests only."""
+    s = _graded(d, hidden=False)
     return s.select("task_id", F.col("sample_ix").alias("iter"), F.col("completion").alias("reply"),
                     T.extract_code("completion").alias("code"), F.col("frac").alias("score"),
                     "ran_ok", "stdout", "stderr")
@@ -339,13 +334,13 @@ def q_pass_at_1(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(spark, sf)
     cands = _candidates(d)
     hidden = _hidden_outcomes(d)
-    single = EV.grade(EV.best_of_k(cands, k=1), hidden).withColumn("setting", F.lit("single_shot"))
-    best4 = EV.grade(EV.best_of_k(cands, k=4), hidden).withColumn("setting", F.lit("best_of_4"))
     agent = EV.best_attempt(_attempts(d), _has_tests(d), with_iter=True)
-    agentic = EV.grade(agent.withColumnRenamed("chosen_iter", "sample_ix"), hidden) \
-        .withColumn("setting", F.lit("agentic"))
-    cols = ["setting", "task_id", "ok"]
-    rates = EV.pass_at_1(single.select(*cols).unionByName(best4.select(*cols)).unionByName(agentic.select(*cols)))
+    winners = [EV.best_of_k(cands, k=1).select(F.lit("single_shot").alias("setting"), "task_id", "sample_ix"),
+               EV.best_of_k(cands, k=4).select(F.lit("best_of_4").alias("setting"), "task_id", "sample_ix"),
+               agent.select(F.lit("agentic").alias("setting"), "task_id", F.col("chosen_iter").alias("sample_ix"))]
+    chosen = winners[0].unionByName(winners[1]).unionByName(winners[2])
+    # Every task counts in every setting: one without a winner has failed.
+    rates = EV.pass_at_1(EV.graded_tasks(d.tasks(), EV.grade(chosen, hidden), ["single_shot", "best_of_4", "agentic"]))
     table = EV.comparison_table(rates)
     return table.select("setting", r6("pass_at_1").alias("pass_at_1"), F.col("n").cast("bigint"),
                         "pass_at_1_text")
@@ -354,7 +349,7 @@ def q_pass_at_1(spark: SparkSession, sf: str) -> DataFrame:
 def q_revise_transcript(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(spark, sf)
     tasks = d.tasks().select("task_id", T.strip_py(T.first_nonempty("text", "prompt")).alias("problem"),
-                             F.col("test_list").alias("tests"))
+                             DS.split_tests("test_list")[0].alias("tests"))
     out = EV.revise_transcript(_attempts(d), tasks)
     return explode_messages(out, "task_id")
 

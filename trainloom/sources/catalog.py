@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,8 +57,6 @@ class Catalog:
 
     def table(self, name: str, columns: list[str] | None = None) -> DataFrame:
         path = self.path(name)
-        if "://" not in path and not os.path.exists(path):
-            raise FileNotFoundError(f"table {name!r} not found at {path}")
         reader = self.spark.read
         schema = self.schemas.get(name)
         if schema:
