@@ -72,22 +72,24 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
-    """(prefix hash, text key) once per text and prefix."""
+    """(prefix hash, text key, places) once per text and prefix."""
     for batch in batches:
-        hashes, keys, held = [], [], 0
+        hashes, keys, places, held = [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(keys))], ["prefix", "text_key"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places).astype(np.int32))],
+                                             ["prefix", "text_key", "places"])
 
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            h = np.unique(anchors(word_hashes(words_of(text.as_py())), width, prefix)[2])
+            h, n = np.unique(anchors(word_hashes(words_of(text.as_py())), width, prefix)[2], return_counts=True)
             if len(h):
                 hashes.append(h)
+                places.append(n)
                 keys.append(np.full(len(h), key, np.int64))
                 held += len(h)
             if held >= 200_000:
                 yield out()
-                hashes, keys, held = [], [], 0
+                hashes, keys, places, held = [], [], [], 0
         if held:
             yield out()
 
@@ -105,30 +107,45 @@ def _suffixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Ite
     """
     reach = width - prefix
     span = 2 * reach + prefix
+    none, names, held = np.empty(0, np.int64), [c.split()[0] for c in SUFFIX.split(", ")], []
+
+    def out() -> pa.RecordBatch:
+        prefixes, w1, w2, docs, places, bits, near, plain = zip(*held)
+        held.clear()
+        numbers = [np.concatenate(c) for c in (prefixes, w1, w2, docs, places, bits)]
+        # Rows of overfull groups have no words around: a null each.
+        there = np.concatenate(plain)
+        offsets = np.concatenate(([0], np.cumsum(there * (4 * span)))).astype(np.int32)
+        valid = pa.py_buffer(np.packbits(there, bitorder="little").tobytes())
+        around = pa.Array.from_buffers(pa.binary(), len(there), [valid, pa.py_buffer(offsets), pa.py_buffer(b"".join(near))])
+        return pa.RecordBatch.from_arrays([*map(pa.array, numbers), around], names)
+
     for batch in batches:
         docs = batch.column("doc_id").to_pylist()
-        for i, (text, shared, overfull) in enumerate(zip(batch.column("text"), batch.column("prefixes"), batch.column("overfull"))):
+        for doc, text, shared, overfull in zip(docs, batch.column("text"), batch.column("prefixes"), batch.column("overfull")):
             h = word_hashes(words_of(text.as_py()))
             at, distinct, hashes = anchors(h, width, prefix)
             chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
             keys = hashes.view(np.int64)
-            small = distinct[np.isin(keys, chosen[~large])]
+            is_small = np.isin(keys, chosen[~large])
+            small = distinct[is_small]
             starts = np.flatnonzero(np.isin(at, small))
             bits = np.zeros(len(small), np.int32)
             np.bitwise_or.at(bits, np.searchsorted(small, at[starts]), (1 << (at[starts] - starts)).astype(np.int32))
-            short = np.concatenate((np.zeros(reach, np.uint32), (h >> np.uint64(32)).astype(np.uint32), np.zeros(reach, np.uint32)))
+            edge = np.zeros(reach, np.uint32)
+            short = np.concatenate((edge, (h >> np.uint64(32)).astype(np.uint32), edge))
             around = np.ascontiguousarray(sliding_window_view(short, span)[small]).tobytes() if len(small) else b""
-            long = np.flatnonzero(np.isin(at, distinct[np.isin(keys, chosen[large])])) if large.any() else np.empty(0, np.int64)
-            a, b = (window_hashes(h, width, seed)[long].view(np.int64) if len(long) else np.empty(0, np.int64) for seed in (1, 2))
-            n, m, none = len(small), len(long), np.empty(0, np.int64)
-            step = 4 * span
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate((keys[np.searchsorted(distinct, small)] if n else none, np.zeros(m, np.int64)))),
-                 pa.array(np.concatenate((np.zeros(n, np.int64), a))), pa.array(np.concatenate((np.zeros(n, np.int64), b))),
-                 pa.array(np.full(n + m, docs[i], np.int64)), pa.array(np.concatenate((small, long)).astype(np.int32)),
-                 pa.array(np.concatenate((bits, np.zeros(m, np.int32))).astype(np.int32)),
-                 pa.array([around[step * k:step * (k + 1)] for k in range(n)] + [None] * m, pa.binary())],
-                [c.split()[0] for c in SUFFIX.split(", ")])
+            long = np.flatnonzero(np.isin(at, distinct[np.isin(keys, chosen[large])])) if large.any() else none
+            a, b = (window_hashes(h, width, seed)[long].view(np.int64) if len(long) else none for seed in (1, 2))
+            n, m = len(small), len(long)
+            gap, rest = np.zeros(n, np.int64), np.zeros(m, np.int64)
+            held.append((np.concatenate((keys[is_small], rest)), np.concatenate((gap, a)), np.concatenate((gap, b)), np.full(n + m, doc, np.int64),
+                         np.concatenate((small, long)).astype(np.int32), np.concatenate((bits, rest)).astype(np.int32), around,
+                         np.concatenate((np.ones(n, bool), np.zeros(m, bool)))))
+            if len(held) >= 256:
+                yield out()
+        if held:
+            yield out()
 
 
 def covered_by_tree(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, around: np.ndarray, width: int, reach: int) -> np.ndarray:
@@ -230,10 +247,10 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     records = write_shared(source.mapInArrow(_records, "doc_id long, text_key long, n_words long, sha string"), "records")
     firsts = records.where("doc_id is not null").groupBy("sha").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_words").alias("n"))
     starts = source.where("doc_id is not null").select("text_key", "text").mapInArrow(
-        partial(_prefixes, width=width, prefix=prefix), "prefix long, text_key long")
+        partial(_prefixes, width=width, prefix=prefix), "prefix long, text_key long, places int")
     # Texts are told apart by their key, so copies of one text share nothing with each other here.
-    shared = starts.groupBy("prefix").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"), F.count("*").alias("n")).where("low <> high")
-    wanted = (starts.join(shared.select("prefix", (F.col("n") > group_rows).alias("overfull")), "prefix")
+    shared = starts.groupBy("prefix").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"), F.sum("places").alias("n")).where("low <> high")
+    wanted = (starts.select("prefix", "text_key").join(shared.select("prefix", (F.col("n") > group_rows).alias("overfull")), "prefix")
               .groupBy("text_key").agg(F.collect_set(F.struct("prefix", "overfull")).alias("p")))
     wanted = firsts.select("first.doc_id", "first.text_key").join(wanted, "text_key").select(
         "doc_id", "text_key", F.col("p.prefix").alias("prefixes"), F.col("p.overfull").alias("overfull"))
