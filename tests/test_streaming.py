@@ -1,14 +1,18 @@
 import random
 import re
+from functools import partial
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from trainloom.functions import text as T
+from trainloom.operators import conversations as CV
 from trainloom.operators import metrics as ME
+from trainloom.streaming.memory import _make_fn as _memory_fn
 from trainloom.streaming.memory import stream_memory
-from trainloom.streaming.step_metrics import stream_step_metrics
-from trainloom.streaming.think_stream import ThinkSplitter, split_chunked_replies, stream_think_split
+from trainloom.streaming.step_metrics import _fold, _make_fn, _record, stream_step_metrics
+from trainloom.streaming.think_stream import ThinkSplitter, _stream_group, split_chunked_replies, stream_think_split
 
 SEG = re.compile(r"<think>(.*?)(?:</think>|\Z)", re.S)
 
@@ -117,3 +121,104 @@ def test_stream_memory(spark, tmp_path):
     first = out[out.at_turn == 1].sort_values("pos")
     assert list(first.role) == ["system", "user"]
     assert set(out.at_turn) == {1, 5, 7}
+
+
+class FakeState:
+    """Keyed state of one key between calls of a state function."""
+
+    def __init__(self):
+        self.value, self.hasTimedOut, self.timeout = None, False, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def _feed(fn, key, state, batches, columns):
+    return [tuple(r) for b in batches for out in fn((key,), iter([pd.DataFrame(b, columns=columns)]), state)
+            for r in out.itertuples(index=False)]
+
+
+CHUNK = ["seq", "chunk", "is_final"]
+
+
+def test_think_stream_ignores_redelivery_and_late_chunks():
+    state = FakeState()
+    out = _feed(_stream_group, "r", state, [[(1, "b", True)], [(0, "<think>a</think>", False)]], CHUNK)
+    assert [r[2:4] for r in out] == [("think", "a"), ("answer", "b"), ("end", "")]
+    assert _feed(_stream_group, "r", state, [[(0, "<think>a</think>", False)], [(1, "b", True)], [(2, "c", False)]], CHUNK) == []
+    assert state.get[4] == "{}"
+
+
+def test_think_stream_idle_reply_is_closed_with_all_it_holds():
+    state = FakeState()
+    fn = partial(_stream_group, idle_ms=1000)
+    first = _feed(fn, "r", state, [[(0, "ab", False)], [(2, "ef", False)]], CHUNK)
+    assert first == [] and state.timeout == 1000
+    state.hasTimedOut = True
+    rest = [tuple(r) for out in fn(("r",), iter([]), state) for r in out.itertuples(index=False)]
+    assert "".join(r[3] for r in rest) == "abef" and rest[-1][4] and not state.exists
+
+
+def _one_file_per_trigger(spark, path, df, parts):
+    for i, part in enumerate(parts):
+        df.filter(part).coalesce(1).write.parquet(f"{path}/{i}")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+STEP_ROWS = [(s, f"t{t}", i, (s * 7 + t * 3 + i) % 4 / 3.0, "c" * (10 * i + 3000 * (t == 1)))
+             for s in range(2) for t in range(3) for i in range(5)]
+
+
+@pytest.mark.parametrize("expected", [True, False])
+@pytest.mark.parametrize("parts", [("sample_ix < 2", "sample_ix >= 2"), ("sample_ix >= 2", "sample_ix < 2")])
+def test_step_metrics_over_several_batches(parts, expected):
+    fn = _make_fn(4, 512)
+    frame = pd.DataFrame([("rollout", s, t, i, x, len(c), None, None, None) for s, t, i, x, c in STEP_ROWS if s == 1],
+                         columns=["kind", "step", "task_id", "sample_ix", "score", "chars", "elapsed_sec", "peak_gb", "n_rollouts"])
+    flush = frame.head(1).assign(kind="flush", elapsed_sec=3.0, peak_gb=1.0, n_rollouts=15 if expected else None)
+    batches = [flush] + [frame.query(p) for p in parts]
+    state = FakeState()
+    out = [list(o.to_dict("records")) for b in batches for o in fn((1,), iter([b]), state)]
+    assert len(out) == (1 if expected else 2)
+    whole = next(fn((1,), iter([frame, flush]), FakeState())).to_dict("records")
+    assert out[-1][0] == pytest.approx(whole[0])
+    if expected:
+        assert state.get[4] == "done" and list(fn((1,), iter([frame]), state)) == []
+
+
+def test_step_metrics_deviation_of_equal_scores():
+    groups = {}
+    _fold(groups, pd.DataFrame({"task_id": ["t"] * 100_000, "sample_ix": range(100_000), "score": 0.7, "chars": 1}), 4, 500.0)
+    assert _record(1, groups, None, None)["reward_std"] == 0.0
+
+
+CHAT = [(1, 0, "system", "s"), (1, 1, "user", " hi "), (1, 2, "assistant", "<think>r</think> ok "), (1, 3, "user", "  "),
+        (1, 4, "user", "/reset"), (1, 5, "user", "again"), (1, 6, "assistant", "a"), (1, 7, "user", " more ")]
+
+
+def test_batch_memory_keeps_system_turn_and_equals_stream(spark, tmp_path):
+    df = spark.createDataFrame(CHAT, "conv_id long, turn long, role string, text string")
+    batch = CV.memory_window(CV.answer_only_history(CV.after_last_reset(CV.user_inputs(df))), max_turns=1).orderBy("turn").collect()
+    assert [(r.turn, r.text) for r in batch] == [(0, "s"), (6, "a"), (7, "more")]
+    for name, parts in {"late": ("turn % 2 = 1", "turn % 2 = 0", "turn = 5"), "early": ("turn < 4", "turn >= 4", "turn < 6")}.items():
+        src = _one_file_per_trigger(spark, str(tmp_path / name), df, parts)
+        out = _run_stream(spark, stream_memory(src, max_turns=1), f"mem_{name}").toPandas()
+        assert sorted(set(out.at_turn)) == [1, 5, 7] and not out.duplicated(["at_turn", "pos"]).any()
+        last = out[out.at_turn == 7].sort_values("pos")
+        assert list(last.content)[1:] == [r.text for r in batch][1:]
+
+
+def test_memory_exit_ends_the_conversation():
+    state = FakeState()
+    fn = _memory_fn(2, "S")
+    out = _feed(fn, 1, state, [[(0, "user", "a")], [(1, "user", "/exit")], [(2, "user", "b")]], ["turn", "role", "text"])
+    assert [r[1] for r in out] == [0, 0] and state.get[2] == "{}"

@@ -95,6 +95,6 @@ class JobParams:
     general_max_samples: int | None = 4_000
     grpo_max_samples: int | None = 374
     repair_max_samples: int | None = 300
-    # Row counts at or below this are broadcast in joins keyed by a budget.
-    broadcast_row_limit: int = 1_000_000
+    # Rollouts per probed task that count in its verdict; sample size 0 turns the probe off.
+    probe_generations: int = 2
     reward_weights: dict = field(default_factory=lambda: {"correctness": 1.0, "format": 1.0})

@@ -107,11 +107,6 @@ def is_truncated(n_chars, max_completion_length: int = C.MAX_COMPLETION_LENGTH)
     return approx_tokens(n_chars) >= F.lit(max_completion_length * C.TRUNCATION_FRACTION)
 
 
-def token_estimate(text) -> Column:
-    """M10 default: integer chars/4 estimate, rounded up."""
-    return F.floor((F.length(col_(text)) + F.lit(3)) / F.lit(4)).cast("bigint")
-
-
 def percent(x, digits: int = 1) -> Column:
     """``{:.1%}`` formatting of a rate (not negative): the double's exact value
     is rounded, ties to the even digit.
@@ -158,7 +153,8 @@ def with_lines(df, text: str, out: str = "lines"):
 
 
 def doctest_candidates_from_lines(lines) -> Column:
-    """X3 over an already split ``lines`` column (see ``doctest_candidates``)."""
+    """X3 over an already split ``lines`` column (see ``doctest_candidates``). Lines
+    are paired with the array shifted by one (no lambda refers to the outer array)."""
     lines = col_(lines)
     n = F.size(lines)
     nexts = F.when(n > 1, F.slice(lines, 2, n - 1)).otherwise(F.array().cast("array<string>"))
@@ -177,23 +173,8 @@ def doctest_candidates_from_lines(lines) -> Column:
 def doctest_candidates(prompt) -> Column:
     """X3 up to the parse check: ``>>> expr`` lines paired with the next line
     (W4) turned into ``assert (expr) == (expected)``; the last line never pairs,
-    empty / ``>>> `` expected lines and ``print(`` examples are skipped.
-
-    Lines are paired with ``zip_with`` against the array shifted by one, so
-    each row splits its text once (no lambda refers to the outer array)."""
-    lines = split_lines(prompt)
-    n = F.size(lines)
-    nexts = F.when(n > 1, F.slice(lines, 2, n - 1)).otherwise(F.array().cast("array<string>"))
-
-    def pair(line, nxt):
-        stripped = strip_py(line)
-        expr = strip_py(F.substring(stripped, 5, 1 << 30))
-        expected = strip_py(nxt)
-        keep = (nxt.isNotNull() & stripped.startswith(">>> ") & (expected != F.lit(""))
-                & ~expected.startswith(">>> ") & ~expr.startswith("print("))
-        return F.when(keep, F.concat(F.lit("assert ("), expr, F.lit(") == ("), expected, F.lit(")")))
-
-    return F.filter(F.zip_with(lines, nexts, pair), lambda x: x.isNotNull())
+    empty / ``>>> `` expected lines and ``print(`` examples are skipped."""
+    return doctest_candidates_from_lines(split_lines(prompt))
 
 
 def observation(has_tests, stderr, stdout) -> Column:

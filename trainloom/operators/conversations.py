@@ -12,23 +12,35 @@ from trainloom.functions import text as T
 
 
 def to_messages(turns: DataFrame, key: str = "conv_id", order: str = "turn",
-                role: str = "role", content: str = "text") -> DataFrame:
-    """Gather ordered turns into ``messages`` (one row per conversation)."""
+                role: str = "role", content: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Gather ordered turns into ``messages`` (one row per conversation). Columns of
+    ``carry`` hold one value per conversation."""
+    carry = carry or []
     return (turns.groupBy(key)
             .agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("role"),
-                                                      F.col(content).alias("content")))).alias("_m"))
-            .select(key, F.transform("_m", lambda s: F.struct(s.getField("role").alias("role"),
+                                                      F.col(content).alias("content")))).alias("_m"),
+                 *[F.max(c).alias(c) for c in carry])
+            .select(key, *carry, F.transform("_m", lambda s: F.struct(s.getField("role").alias("role"),
                                                               s.getField("content").alias("content")))
                     .alias("messages")))
 
 
 def after_last_reset(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                      reset_text: str = "/reset") -> DataFrame:
-    """T3 batch form: only turns after the conversation's last ``/reset``."""
+    """T3 batch form: only turns after the conversation's last ``/reset``; a reset
+    clears the history but never the system turn."""
     resets = (turns.filter(T.strip_py("text") == reset_text).groupBy(key)
               .agg(F.max(order).alias("_reset_at")))
     kept = turns.join(resets, key, "left")
-    return kept.filter(F.col("_reset_at").isNull() | (F.col(order) > F.col("_reset_at"))).drop("_reset_at")
+    stays = F.col("_reset_at").isNull() | (F.col(order) > F.col("_reset_at")) | F.col("role").eqNullSafe(F.lit("system"))
+    return kept.filter(stays).drop("_reset_at")
+
+
+def user_inputs(turns: DataFrame, role: str = "role", content: str = "text") -> DataFrame:
+    """User turns trimmed; blank ones are ignored. Other turns stay as they are."""
+    text = F.when(F.col(role) == "user", T.strip_py(content)).otherwise(F.col(content))
+    return turns.withColumn(content, text).filter(~((F.col(role) == "user") & (F.col(content) == "")) | F.col(role).isNull()
+                                                  | F.col(content).isNull())
 
 
 def memory_window(turns: DataFrame, max_turns: int = C.MAX_TURNS, key: str = "conv_id",

@@ -10,7 +10,7 @@ from trainloom import config as C
 from trainloom.config import JobParams
 from trainloom.functions import messages as M
 from trainloom.functions import text as T
-from trainloom.functions.mutation import apply_mutation, mutation_choices, seeded_order_key
+from trainloom.functions.mutation import apply_mutation, mutation_choices
 from trainloom.operators.conversations import to_messages
 from trainloom.operators.filters import domain_filter
 from trainloom.operators.sampling import seeded_cap
@@ -103,10 +103,11 @@ def repair_sft(df: DataFrame, key: str = "task_id", params: JobParams | None = N
                      T.strip_py(T.first_nonempty(_opt(df, "text"), _opt(df, "prompt"))).alias("problem"))
     cand = cand.filter((F.col("gold") != "") & (F.size("tests") > 0))
     # Rows without a matching rule are skipped (this is the empty-message
-    # filter F2: a skipped row has no trajectory). The splice runs after it.
+    # filter F2: a skipped row has no trajectory). The splice runs after the cap.
     cand = cand.select(key, "gold", "tests", "problem", F.explode(mutation_choices("gold", key, p.seed)).alias("ch"))
-    cand = cand.select(key, "gold", "tests", "problem", F.col("ch.rule").alias("rule"),
-                       apply_mutation("gold", "ch.rule", "ch.k").alias("mutated_code"))
+    capped = seeded_cap(cand, key, n if n is not None else p.repair_max_samples, p.seed)
+    capped = capped.select(key, "gold", "tests", "problem", F.col("ch.rule").alias("rule"),
+                           apply_mutation("gold", "ch.rule", "ch.k").alias("mutated_code"))
     public = F.try_element_at("tests", F.lit(1))
     msgs = M.messages(
         ("system", C.CODE_SYSTEM_PROMPT),
@@ -115,7 +116,6 @@ def repair_sft(df: DataFrame, key: str = "task_id", params: JobParams | None = N
         ("user", T.failure_trace(public)),
         ("assistant", F.concat(F.lit("<think>\n" + C.REPAIR_RATIONALE + "\n</think>\n\n```python\n"),
                                F.col("gold"), F.lit("\n```"))))
-    capped = seeded_cap(cand, key, n if n is not None else p.repair_max_samples, p.seed)
     return capped.select(key, "rule", "mutated_code", msgs.alias("messages"))
 
 
@@ -136,32 +136,22 @@ def conversation_token_lengths(turns: DataFrame, key: str = "conv_id", order: st
 
 
 def sft_records(turns: DataFrame, params: JobParams | None = None, n: int | None = None,
-                max_tokens: int | None = None, key: str = "conv_id", order: str = "turn",
-                broadcast_limit: int | None = None) -> DataFrame:
+                max_tokens: int | None = None, key: str = "conv_id", order: str = "turn") -> DataFrame:
     """Conversations -> rendered SFT records: M4 ensure system -> M9 render ->
     M10 token estimate -> F3 length filter -> L1/L2 seeded cap.
 
     Plan shape: the rendered length of every conversation is known from
     per-turn lengths, so the length filter and the seeded top-n run on one
     aggregate row per conversation *before* any message array is built. Only
-    the at most ``n`` selected conversations are gathered and rendered; their
-    id list (``n`` rows, a parameter) is broadcast when ``n`` is within the
-    limit, otherwise shuffled.
+    the selected conversations are gathered and rendered; one join carries
+    their token length to the turns, by the strategy AQE picks from its size.
     """
     p = params or JobParams()
     max_tokens = p.max_seq_length if max_tokens is None else max_tokens
-    limit = p.broadcast_row_limit if broadcast_limit is None else broadcast_limit
     t = turns.select(key, order, "role", "text")
     fits = conversation_token_lengths(t, key, order).filter(F.col("token_length") <= max_tokens)
     chosen = seeded_cap(fits, key, n, p.seed).select(key, "token_length")
-    if n and n <= limit:
-        chosen = F.broadcast(chosen)
-    rows = t.join(chosen, key, "left_semi")
-    recs = to_messages(rows, key, order).join(chosen, key)
+    recs = to_messages(t.join(chosen, key), key, order, carry=["token_length"])
     msgs = M.ensure_system("messages")
     return recs.select(key, F.size(msgs).alias("n_messages"), M.render_chat(msgs).alias("text"),
                        "token_length")
-
-
-def sft_order_key(key: str, seed: int = C.SHUFFLE_SEED) -> Column:
-    return seeded_order_key(seed, key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trainloom import config as C
@@ -21,22 +21,14 @@ def seeded_cap(df: DataFrame, key: str, n: int | None, seed: int = C.SHUFFLE_SEE
     return df.orderBy(seeded_order_key(seed, key), F.col(key)).limit(int(n))
 
 
-def shuffle_rank_key(key: str, seed: int = C.SHUFFLE_SEED) -> Column:
-    return seeded_order_key(seed, key)
-
-
 def head(df: DataFrame, key: str, n: int) -> DataFrame:
     """L3: the first ``min(n, rows)`` rows by key."""
     return df.orderBy(F.col(key)).limit(int(n))
 
 
-def tail(df: DataFrame, key: str, n: int, broadcast_limit: int = 1_000_000) -> DataFrame:
-    """Rows after the first ``n`` by key (anti-join against the head keys;
-    the head holds ``n`` keys, broadcast when ``n`` is within the limit)."""
-    keys = head(df.select(key), key, n)
-    if n <= broadcast_limit:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_anti")
+def tail(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows after the first ``n`` by key (anti-join against the head keys)."""
+    return df.join(head(df.select(key), key, n), key, "left_anti")
 
 
 def top1_by(df: DataFrame, group_cols: list[str], value_cols: list[str], score: str, order: str) -> DataFrame:

@@ -118,6 +118,11 @@ est AS (SELECT conv_id, CAST(floor(({BOS} + chars + CASE WHEN coalesce(first_rol
         THEN {SYSLEN} ELSE 0 END + 3) / 4) AS BIGINT) AS token_length FROM per)"""
 
 
+def uncapped(sql: str, n: int) -> str:
+    """A builder's SQL without its budget of ``n`` rows."""
+    return sql.replace(f" LIMIT {n})", ")")
+
+
 def sft_sql(max_tokens: int, n: int) -> str:
     return f"""
 WITH {_token_lengths()},
@@ -149,7 +154,7 @@ FROM e"""
 
 GENERAL_SFT = f"""
 WITH {MSGS},
-cap AS (SELECT * FROM msgs ORDER BY {md5key('conv_id')}, conv_id LIMIT 50)
+cap AS (SELECT * FROM msgs ORDER BY {md5key('conv_id')}, conv_id LIMIT 4000)
 {explode('cap', 'conv_id')}"""
 
 SHAREGPT = f"""
@@ -172,7 +177,7 @@ _ANS3 = (f"'<think>' || chr(10) || {_REASON} || chr(10) "
 REASONING_SFT = f"""
 WITH r AS ({duck(REASONING_SQL)}),
 f AS (SELECT * FROM r WHERE lower(coalesce(CAST(domain AS VARCHAR), 'None')) = 'code'
-      ORDER BY {md5key('id')}, id LIMIT 200),
+      ORDER BY {md5key('id')}, id LIMIT 12000),
 mm AS (SELECT id, CASE WHEN nullif(problem, '') IS NOT NULL AND nullif(deepseek_solution, '') IS NOT NULL
         THEN [{msg("'user'", _USER3)}, {msg("'assistant'", _ANS3)}]
         ELSE [{msg("'user'", "coalesce(nullif(problem, ''), nullif(question, ''), '')")},
@@ -328,9 +333,9 @@ FROM metrics"""
 
 _K = C.CURRICULUM_SAMPLE_SIZE
 PROBE = f"""
-probed AS (SELECT task_id FROM tasks ORDER BY task_id LIMIT {_K}),
+probed AS (SELECT task_id FROM tasks ORDER BY {md5key('task_id')}, task_id LIMIT {_K}),
 pv AS (SELECT task_id, min(frac) AS mn, max(frac) AS mx, false AS errored FROM scored
-       WHERE task_id IN (SELECT task_id FROM probed) GROUP BY task_id),
+       WHERE sample_ix < 2 AND task_id IN (SELECT task_id FROM probed) GROUP BY task_id),
 verdict AS (SELECT *, errored OR NOT (mn >= 1 - {C.ZERO_VARIANCE_EPS} OR mx <= {C.ZERO_VARIANCE_EPS}) AS keep FROM pv)"""
 
 PROBE_VERDICTS = f"""{BASE}, {PROBE}
@@ -339,6 +344,10 @@ SELECT task_id, round(mn, 6) AS min_score, round(mx, 6) AS max_score, errored, k
 CURRICULUM_TASKS = f"""{BASE}, {PROBE}
 SELECT task_id FROM tasks WHERE task_id NOT IN (SELECT task_id FROM verdict WHERE NOT keep)"""
 
+RL_CURRICULUM = f"""{BASE}, {PROBE},
+chain AS (SELECT * FROM ({RL_PROMPTS}) p)
+SELECT * FROM chain WHERE task_id NOT IN (SELECT task_id FROM verdict WHERE NOT keep)"""
+
 CURRICULUM_ACCOUNTING = f"""{BASE}, {PROBE},
 d AS (SELECT count(*) AS dropped FROM verdict WHERE NOT keep),
 p AS (SELECT count(*) AS probed FROM probed),
@@ -438,12 +447,18 @@ CHAT_MEMORY = f"""
 WITH c AS ({duck(CHAT_INPUT_SQL)}),
 f AS (SELECT * FROM c WHERE NOT (role = 'user' AND {strip('text')} = '')),
 rs AS (SELECT conv_id, max(turn) AS reset_at FROM f WHERE {strip('text')} = '/reset' GROUP BY conv_id),
-k AS (SELECT f.* FROM f LEFT JOIN rs USING (conv_id) WHERE rs.reset_at IS NULL OR f.turn > rs.reset_at),
-a AS (SELECT conv_id, turn, role, {_ANSWER_ONLY} AS text FROM k)
+k AS (SELECT f.* FROM f LEFT JOIN rs USING (conv_id) WHERE rs.reset_at IS NULL OR f.turn > rs.reset_at OR f.role = 'system'),
+a AS (SELECT conv_id, turn, role, CASE WHEN role = 'user' THEN {strip('text')} ELSE {_ANSWER_ONLY} END AS text FROM k)
 {_window('a', C.MAX_TURNS)}"""
 
 ORACLE_SQL: dict[str, str] = {
     "sft_records": sft_sql(C.MAX_SEQ_LENGTH, 4000),
+    "sft_records_all": uncapped(sft_sql(C.MAX_SEQ_LENGTH, 4000), 4000),
+    "general_sft_all": uncapped(GENERAL_SFT, 4000),
+    "reasoning_sft_all": uncapped(REASONING_SFT, 12000),
+    "rl_prompts_all": uncapped(RL_PROMPTS, 374),
+    "repair_sft_all": uncapped(REPAIR_SFT, 300),
+    "rl_curriculum": RL_CURRICULUM,
     "sft_records_capped": sft_sql(512, 20),
     "length_accounting": LENGTH_ACCOUNTING,
     "sft_spans": SFT_SPANS,

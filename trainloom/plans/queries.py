@@ -47,6 +47,12 @@ def q_sft_records(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("n_messages", F.col("n_messages").cast("bigint"))
 
 
+def q_sft_records_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation within the token limit, without a budget."""
+    out = DS.sft_records(Derived(spark, sf).table("conversations"), JobParams())
+    return out.withColumn("n_messages", F.col("n_messages").cast("bigint"))
+
+
 def q_sft_records_capped(spark: SparkSession, sf: str) -> DataFrame:
     out = DS.sft_records(Derived(spark, sf).table("conversations"), JobParams(), n=20, max_tokens=512)
     return out.withColumn("n_messages", F.col("n_messages").cast("bigint"))
@@ -75,20 +81,29 @@ def q_general_sft(spark: SparkSession, sf: str) -> DataFrame:
     it runs on the distinct ids first and only the chosen conversations are
     gathered into message arrays (same rows as capping after the gather)."""
     turns = Derived(spark, sf).table("conversations")
-    ids = DS.general_sft(turns.select("conv_id").distinct().withColumn("messages", F.lit(None)),
-                         key="conv_id", n=50).select("conv_id")
-    recs = CV.to_messages(turns.join(F.broadcast(ids), "conv_id", "left_semi"))
+    ids = DS.general_sft(turns.select("conv_id").distinct().withColumn("messages", F.lit(None)), key="conv_id").select("conv_id")
+    recs = CV.to_messages(turns.join(ids, "conv_id", "left_semi"))
     return explode_messages(recs, "conv_id")
 
 
+def q_general_sft_all(spark: SparkSession, sf: str) -> DataFrame:
+    """M16 without a budget."""
+    recs = CV.to_messages(Derived(spark, sf).table("conversations"))
+    return explode_messages(DS.general_sft(recs, key="conv_id", n=0), "conv_id")
+
+
 def q_sharegpt_messages(spark: SparkSession, sf: str) -> DataFrame:
     rows = Derived(spark, sf).sharegpt_rows()
     return explode_messages(rows.select("id", M.sharegpt_to_messages("conversations").alias("messages")), "id")
 
 
 def q_reasoning_sft(spark: SparkSession, sf: str) -> DataFrame:
-    out = DS.reasoning_sft(Derived(spark, sf).reasoning_rows(), key="id", n=200)
-    return explode_messages(out, "id")
+    return explode_messages(DS.reasoning_sft(Derived(spark, sf).reasoning_rows(), key="id"), "id")
+
+
+def q_reasoning_sft_all(spark: SparkSession, sf: str) -> DataFrame:
+    """M15 without a budget."""
+    return explode_messages(DS.reasoning_sft(Derived(spark, sf).reasoning_rows(), key="id", n=0), "id")
 
 
 def q_domain_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,8 +117,7 @@ def q_smoke_slice(spark: SparkSession, sf: str) -> DataFrame:
     return smoke_slice(docs, "doc_id", 24, smoke=True).select("doc_id", "lang")
 
 
-def q_rl_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    out = DS.rl_prompts(Derived(spark, sf).tasks(), n=JobParams().grpo_max_samples)
+def _prompt_rows(out: DataFrame) -> DataFrame:
     return out.select("task_id", F.col("prompt")[1]["content"].alias("user_content"),
                       F.size("tests").cast("bigint").alias("n_hidden"),
                       F.array_join("tests", "\n").alias("hidden_tests"),
@@ -111,12 +125,26 @@ def q_rl_prompts(spark: SparkSession, sf: str) -> DataFrame:
                       "setup", "public_is_hidden")
 
 
-def q_repair_sft(spark: SparkSession, sf: str) -> DataFrame:
-    out = DS.repair_sft(Derived(spark, sf).tasks(), n=JobParams().repair_max_samples)
+def q_rl_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    return _prompt_rows(DS.rl_prompts(Derived(spark, sf).tasks(), n=JobParams().grpo_max_samples))
+
+
+def q_rl_prompts_all(spark: SparkSession, sf: str) -> DataFrame:
+    """M5 without a budget."""
+    return _prompt_rows(DS.rl_prompts(Derived(spark, sf).tasks(), n=0))
+
+
+def q_repair_sft(spark: SparkSession, sf: str, n: int | None = None) -> DataFrame:
+    out = DS.repair_sft(Derived(spark, sf).tasks(), n=n)
     return explode_messages(out.withColumn("rule", F.col("rule").cast("bigint")), "task_id", "messages",
                             "rule", "mutated_code")
 
 
+def q_repair_sft_all(spark: SparkSession, sf: str) -> DataFrame:
+    """M7 without a budget."""
+    return q_repair_sft(spark, sf, n=0)
+
+
 def q_mutations(spark: SparkSession, sf: str) -> DataFrame:
     """M8 over every task with gold code."""
     t = Derived(spark, sf).tasks()
@@ -198,9 +226,12 @@ def q_doctest_asserts(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- E2: scoring and telemetry ------------------------------------------------------
 
-def _graded(d: Derived, hidden: bool) -> DataFrame:
-    """J1 + J4 + A1 over all rollouts, on the tasks' hidden or public tests (M6)."""
+def _graded(d: Derived, hidden: bool, probed: DataFrame | None = None) -> DataFrame:
+    """J1 + J4 + A1 over all rollouts, on the tasks' hidden or public tests (M6).
+    With ``probed`` keys, over those tasks' first rollouts only."""
     r = d.rollouts()
+    if probed is not None:
+        r = r.filter(F.col("sample_ix") < JobParams().probe_generations).join(F.broadcast(probed), "task_id", "left_semi")
     lists = DS.split_tests("test_list")
     first = F.when(F.size("test_list") > 1, F.lit(1)).otherwise(F.lit(0)) if hidden else F.lit(0)
     tasks = d.tasks().select("task_id", lists[hidden].alias("chosen"), first.alias("first_ix"),
@@ -268,26 +299,37 @@ def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- curriculum -------------------------------------------------------------------
 
-def _probe_scores(d: Derived) -> DataFrame:
-    return _scored(d).select("task_id", F.col("frac").alias("score"), F.lit(False).alias("errored"))
+def _probe_scores(d: Derived, probed: DataFrame) -> DataFrame:
+    """Scores of the probed tasks' generations; only these are graded."""
+    return _graded(d, hidden=True, probed=probed).select("task_id", F.col("frac").alias("score"), F.lit(False).alias("errored"))
 
 
 def q_probe_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(spark, sf)
-    probed = d.tasks().select("task_id").orderBy("task_id").limit(C.CURRICULUM_SAMPLE_SIZE)
-    v = CU.probe_verdicts(_probe_scores(d).join(F.broadcast(probed), "task_id", "left_semi"))
+    v = CU.probe_verdicts(_probe_scores(d, CU.probe_head(d.tasks())))
     return v.select("task_id", r6("min_score").alias("min_score"), r6("max_score").alias("max_score"),
                     "errored", "keep")
 
 
 def q_curriculum_tasks(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(spark, sf)
-    return CU.curriculum_filter(d.tasks(), _probe_scores(d)).select("task_id")
+    probed = CU.probe_head(d.tasks())
+    return CU.curriculum_filter(d.tasks(), _probe_scores(d, probed), probed=probed).select("task_id")
+
+
+def q_rl_curriculum(spark: SparkSession, sf: str) -> DataFrame:
+    """The RL chain: seeded cap -> prompts and hidden tests -> probe of the order's
+    head -> drop of its zero-variance tasks."""
+    d, p = Derived(spark, sf), JobParams()
+    prompts = DS.rl_prompts(d.tasks(), params=p)
+    probed = CU.probe_head(d.tasks(), p.curriculum_sample_size, seed=p.seed)
+    return _prompt_rows(CU.curriculum_filter(prompts, _probe_scores(d, probed), probed=probed))
 
 
 def q_curriculum_accounting(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(spark, sf)
-    return CU.curriculum_accounting(d.tasks(), _probe_scores(d))
+    probed = CU.probe_head(d.tasks())
+    return CU.curriculum_accounting(d.tasks(), _probe_scores(d, probed), probed=probed)
 
 
 # -- E3: evaluation -------------------------------------------------------------------
@@ -370,10 +412,9 @@ def q_memory_window(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_chat_memory(spark: SparkSession, sf: str) -> DataFrame:
-    """T3 batch form: blank input ignored, history cleared at the last /reset,
-    answers only, last 2 x 8 turns."""
-    t = Derived(spark, sf).chat_inputs()
-    t = t.filter(~((F.col("role") == "user") & (T.strip_py("text") == "")))
+    """T3 batch form: user input trimmed and blank input ignored, history (not the
+    system turn) cleared at the last /reset, answers only, last 2 x 8 turns."""
+    t = CV.user_inputs(Derived(spark, sf).chat_inputs())
     t = CV.after_last_reset(t)
     t = CV.answer_only_history(t)
     return CV.memory_window(t, max_turns=C.MAX_TURNS).select("conv_id", "turn", "role", "text")
@@ -381,6 +422,12 @@ def q_chat_memory(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "sft_records": q_sft_records,
+    "sft_records_all": q_sft_records_all,
+    "general_sft_all": q_general_sft_all,
+    "reasoning_sft_all": q_reasoning_sft_all,
+    "rl_prompts_all": q_rl_prompts_all,
+    "repair_sft_all": q_repair_sft_all,
+    "rl_curriculum": q_rl_curriculum,
     "sft_records_capped": q_sft_records_capped,
     "length_accounting": q_length_accounting,
     "sft_spans": q_sft_spans,

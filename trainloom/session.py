@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,13 +57,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="trainloom-ckpt-")
     sc.setCheckpointDir(path)
     return path
-
-
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def env_flag(name: str) -> bool:
-    return os.environ.get(name, "").lower() in {"1", "true", "yes"}

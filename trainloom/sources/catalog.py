@@ -64,15 +64,6 @@ class Catalog:
         df = reader.parquet(path)
         return df.select(*columns) if columns else df
 
-    def register_views(self, names=None) -> None:
-        """Expose tables as session temp views for SQL users."""
-        for name in names or self.schemas:
-            self.table(name).createOrReplaceTempView(name)
-
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return Catalog(spark, root).table(name)
-
 
 def smoke_slice(df: DataFrame, order_key: str, n: int | None, smoke: bool) -> DataFrame:
     """Smoke-run prefix: the first ``max(100, 4n)`` rows by key when the smoke

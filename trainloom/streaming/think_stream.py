@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trainloom import config as C
-from trainloom.functions.text import col_
+from trainloom.functions.text import answer_text, col_, think_text
 
 HOLD_BACK = max(len(C.THINK_OPEN), len(C.THINK_CLOSE)) - 1
 
@@ -62,95 +63,77 @@ def chunk_text(text, size) -> Column:
     return F.when(F.length(t) == 0, F.array(F.lit(""))).otherwise(pieces)
 
 
-SPLIT_SCHEMA = "reply_id string, think string, answer string"
-
-
-def _split_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Walk (reply_id, seq)-sorted chunks of one partition; the splitter state
-    carries across Arrow batches, so memory holds one reply at a time."""
-    cur, sp, acc = None, None, None
-    out_ids, out_think, out_answer = [], [], []
-
-    def close():
-        for ch, txt in sp.feed("", final=True):
-            acc[ch].append(txt)
-        out_ids.append(cur)
-        out_think.append("".join(acc["think"]))
-        out_answer.append("".join(acc["answer"]))
-
-    for pdf in batches:
-        for rid, chunk in zip(pdf["reply_id"].tolist(), pdf["chunk"].tolist()):
-            if rid != cur:
-                if cur is not None:
-                    close()
-                cur, sp, acc = rid, ThinkSplitter(), {"think": [], "answer": []}
-            for ch, txt in sp.feed(chunk if isinstance(chunk, str) else ""):
-                acc[ch].append(txt)
-        if out_ids:
-            yield pd.DataFrame({"reply_id": out_ids, "think": out_think, "answer": out_answer})
-            out_ids, out_think, out_answer = [], [], []
-    if cur is not None:
-        close()
-        yield pd.DataFrame({"reply_id": out_ids, "think": out_think, "answer": out_answer})
-
-
-def split_chunked_replies(chunks: DataFrame, partitions: int | None = None) -> DataFrame:
+def split_chunked_replies(chunks: DataFrame) -> DataFrame:
     """Batch form: (reply_id, seq, chunk) -> (reply_id, think, answer).
 
-    Chunks are hash-partitioned by reply and sorted by (reply, seq) inside each
-    partition; one pass per partition then feeds them in order. No group is
-    materialised as a whole."""
-    c = chunks.select("reply_id", "seq", "chunk")
-    c = c.repartition(partitions, "reply_id") if partitions else c.repartition("reply_id")
-    return c.sortWithinPartitions("reply_id", "seq").mapInPandas(_split_sorted, SPLIT_SCHEMA)
+    A reply is one bounded value: its chunks are gathered, joined in order and
+    split by the batch expressions, all inside the JVM."""
+    pieces = F.sort_array(F.collect_list(F.struct("seq", F.coalesce("chunk", F.lit("")).alias("chunk"))))
+    # The split happens above the gather, so the text is joined once per reply.
+    whole = chunks.groupBy("reply_id").agg(pieces.alias("pieces")).select(
+        "reply_id", F.array_join(F.col("pieces.chunk"), "").alias("reply"))
+    return whole.select("reply_id", think_text("reply").alias("think"), answer_text("reply").alias("answer"))
 
 
 SEGMENT_SCHEMA = "reply_id string, out_seq int, channel string, text string, is_last boolean"
 STATE_SCHEMA = "pending string, in_think boolean, next_seq int, out_seq int, parked string"
 
 
-def _stream_group(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+CLOSED = -1  # ``next_seq`` of a reply whose final chunk was seen
+
+
+def _stream_group(key, batches: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None = None) -> Iterator[pd.DataFrame]:
     """Keyed state per reply: held-back text, channel, next expected chunk and
-    chunks that arrived early. Duplicate (reply_id, seq) chunks are ignored."""
+    chunks that arrived early. A chunk delivered twice is ignored, also after the
+    reply's end: of a closed reply a marker of a few bytes stays.
+
+    With ``idle_ms``, a reply without news for that long is closed: what it holds
+    is emitted in order, an open reply gets its end row, and the state goes.
+    """
     if state.exists:
         pending, in_think, next_seq, out_seq, parked_json = state.get
         parked = {int(k): v for k, v in json.loads(parked_json).items()}
     else:
         pending, in_think, next_seq, out_seq, parked = "", False, 0, 0, {}
-    for pdf in batches:
-        for seq, chunk, fin in zip(pdf["seq"], pdf["chunk"], pdf["is_final"]):
-            if int(seq) >= next_seq:
-                parked[int(seq)] = (chunk if isinstance(chunk, str) else "", bool(fin))
     sp = ThinkSplitter(pending, in_think)
     rows = []
-    done = False
-    while next_seq in parked and not done:
-        chunk, fin = parked.pop(next_seq)
-        next_seq += 1
-        pieces = sp.feed(chunk, final=fin)
-        for ch, txt in pieces:
-            rows.append((key[0], out_seq, ch, txt, False))
-            out_seq += 1
-        done = fin
-    if done:
-        rows.append((key[0], out_seq, "end", "", True))
+
+    def emit(chunk: str, final: bool) -> None:
+        for channel, text in sp.feed(chunk, final=final):
+            rows.append((key[0], out_seq + len(rows), channel, text, False))
+        if final:
+            rows.append((key[0], out_seq + len(rows), "end", "", True))
+
+    if state.hasTimedOut:
+        if next_seq != CLOSED:
+            for at in sorted(parked):
+                emit(parked[at][0], False)
+            emit("", True)
         state.remove()
     else:
-        state.update((sp.pending, sp.in_think, next_seq, out_seq,
+        for pdf in batches:
+            for seq, chunk, fin in zip(pdf["seq"], pdf["chunk"], pdf["is_final"]):
+                if next_seq != CLOSED and int(seq) >= next_seq:
+                    parked[int(seq)] = (chunk if isinstance(chunk, str) else "", bool(fin))
+        while next_seq in parked:
+            chunk, fin = parked.pop(next_seq)
+            emit(chunk, fin)
+            next_seq += 1
+            if fin:
+                sp, next_seq, parked = ThinkSplitter(), CLOSED, {}
+        state.update((sp.pending, sp.in_think, next_seq, out_seq + len(rows),
                       json.dumps({str(k): list(v) for k, v in parked.items()})))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
     if rows:
         yield pd.DataFrame(rows, columns=["reply_id", "out_seq", "channel", "text", "is_last"])
 
 
-def stream_think_split(chunks: DataFrame) -> DataFrame:
+def stream_think_split(chunks: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """Streaming form over (reply_id, seq, chunk, is_final): emits channel
-    segments as soon as they are final; the reply's state is dropped after its
-    final chunk. Output mode: append."""
+    segments as soon as they are final. ``idle_ms`` bounds the state by time (see
+    ``_stream_group``); None keeps a marker per reply. Output mode: append."""
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
     return (chunks.select("reply_id", "seq", "chunk", "is_final")
             .groupBy("reply_id")
-            .applyInPandasWithState(_stream_group, SEGMENT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
-
-
-def parked_decode(parked_json: str) -> dict:
-    return {int(k): tuple(v) for k, v in json.loads(parked_json).items()}
+            .applyInPandasWithState(partial(_stream_group, idle_ms=idle_ms), SEGMENT_SCHEMA, STATE_SCHEMA, "append", timeout))
