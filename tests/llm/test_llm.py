@@ -328,6 +328,13 @@ def test_components(spark):
 
 # -- 9 shards ------------------------------------------------------------------------
 
+def test_merged_classes(spark):
+    labels = spark.createDataFrame([(b"b", b"a"), (b"c", b"a"), (b"e", b"d"), (b"y", b"x")], "node binary, label binary")
+    links = spark.createDataFrame([(b"c", b"e"), (b"b", b"c"), (b"f", b"y")], "a binary, b binary")
+    got = {(bytes(r.node), bytes(r.label)) for r in minhash._merged(labels, links).collect()}
+    assert got == {(b"b", b"a"), (b"c", b"a"), (b"d", b"a"), (b"e", b"a"), (b"x", b"f"), (b"y", b"f")}
+
+
 def test_shards(spark, docs, awkward, empty):
     for df, n in ((docs, 40), (awkward, 3)):
         out = rows_of(sharding.shard(df, n))

@@ -163,6 +163,24 @@ def _cross(group: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after new links: only the classes that they join are relabelled.
+
+    Links become edges between labels, which are far fewer than the links so far
+    and near stars, so that few rounds settle them.
+    """
+    def named(column: str) -> DataFrame:
+        return labels.select(F.col("node").alias(column), F.col("label").alias("l" + column))
+
+    edges = links.select("a", "b").join(named("a"), "a", "left").join(named("b"), "b", "left").select(
+        F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b")
+    moved = components(edges).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    old = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    # A text without links so far is its own label; a class's name is listed under its members.
+    fresh = moved.select(F.col("label").alias("node"), F.col("to").alias("label")).join(labels.select("node"), "node", "left_anti")
+    return write_shared(old.unionByName(fresh).distinct(), "labels")
+
+
 def _cross_links(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between texts of different classes that are joined by shared buckets.
 
@@ -238,13 +256,13 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         else:
             linked = write_shared(_cross_links(open_rows.select("band", "digest", "label"), sets, threshold), "cross-links")
             if not linked.isEmpty():
-                labels = components(checked.where("linked").select("a", "b").unionByName(linked))
+                labels = _merged(labels, linked)
             break
         pairs = write_shared(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "more-pairs")
         more = write_shared(_verified(pairs, sets, threshold), "checked")
         checked = checked.unionByName(more)
         if not more.where("linked").isEmpty():
-            labels = components(checked.where("linked"))
+            labels = _merged(labels, more.where("linked"))
     nodes = nodes.select("digest", "doc", "copies").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
     return signed.select("doc_id", "digest"), nodes.select("digest", "doc", "copies", F.coalesce("label", "digest").alias("label"))
 
