@@ -258,8 +258,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
             if not linked.isEmpty():
                 labels = _merged(labels, linked)
             break
-        pairs = write_shared(pairs.distinct().join(checked, ["a", "b"], "left_anti"), "more-pairs")
-        more = write_shared(_verified(pairs, sets, threshold), "checked")
+        more = write_shared(_verified(pairs.distinct().join(checked, ["a", "b"], "left_anti"), sets, threshold), "checked")
         checked = checked.unionByName(more)
         if not more.where("linked").isEmpty():
             labels = _merged(labels, more.where("linked"))
