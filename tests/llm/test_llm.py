@@ -394,6 +394,39 @@ def test_neighbours(spark):
     assert ann.search(small.where("false"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_unequal_lengths_and_hot_copies(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((6_000, 32))
+    x *= (np.exp(rng.normal(0, 0.5, len(x))) / np.sqrt((x * x).sum(axis=1)))[:, None]
+    x[100:400] = x[100]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    ids = np.arange(len(x))
+    for q in range(0, len(x), 100):
+        order = np.lexsort((ids, -(x * x[q]).sum(axis=1)))
+        assert got[q] == order[order != q][:20].tolist()
+
+
+def test_small_blocks_go_through_the_forest(monkeypatch):
+    import pyarrow as pa
+    found = []
+
+    class Noted(ann.Forest):
+        def candidates(self, queries, wanted):
+            for rows in super().candidates(queries, wanted):
+                found.append((wanted, len(rows), len(self.x)))
+                yield rows
+
+    monkeypatch.setattr(ann, "Forest", Noted)
+    x = np.random.default_rng(9).standard_normal((300, 16))
+    table = pa.table({"vec_id": pa.array(range(300)), "rid": pa.array(range(300)), "vec": pa.array(x.tolist())})
+    out = ann._search(table, table.slice(0, 10), 5, ann.TREES, ann.BITS, share=ann.CANDIDATES / ann.BLOCK_ROWS)
+    assert out.num_rows == 50 and len(found) == 10
+    assert all(wanted <= n for wanted, n, _ in found) and any(n < rows for _, n, rows in found)
+
+
 # -- pipeline --------------------------------------------------------------------------
 
 def test_pipeline(spark, docs):
