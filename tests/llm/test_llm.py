@@ -191,6 +191,20 @@ def test_toxicity(spark, awkward, empty):
     assert toxicity.score(empty, model, F.lit(False)).count() == 0
 
 
+def test_telling_words_of_a_rare_language_are_features():
+    rng = np.random.default_rng(10)
+    common = [[f"{lang}{i}" for i in range(60)] for lang in ("a", "b")]
+
+    def row(lang, *more):
+        return toxicity.hashed({*rng.choice(common[lang], 20), *more})
+
+    positive = [row(0, "foul") for _ in range(297)] + [row(1, *["rare"][:i < 20]) for i in range(22)]
+    unlabelled = [row(0, *["foul"][:i < 300]) for i in range(3_900)] + [row(1, *["rare"][:i < 55]) for i in range(440)]
+    names = set(toxicity.vocabulary(positive, unlabelled, 5, 7.0, 5_000).tolist())
+    assert names >= set(toxicity.hashed({"foul", "rare"}).tolist())
+    assert len(toxicity.vocabulary(positive, unlabelled, 5, 7.0, 1)) == 1
+
+
 # -- 6 repeated passages ---------------------------------------------------------------
 
 def brute_repeats(pairs, width=13):

@@ -41,8 +41,8 @@ def hashed(features: set[str]) -> np.ndarray:
     return np.sort(np.fromiter(map(xxhash.xxh64_intdigest, features), np.uint64, len(features)))
 
 
-def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int, z: float, most: int) -> np.ndarray:
-    """Sorted hashes of the features whose share among toxic examples differs from that in unlabelled text by ``z`` deviations."""
+def _compared(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features seen ``least`` times, toxic examples that hold each, and by how many deviations its share there is larger."""
     n, m = max(1, len(positive)), max(1, len(unlabelled))
     names, counts = np.unique(np.concatenate([*positive, *unlabelled]), return_counts=True)
     names = names[counts >= least]
@@ -52,9 +52,29 @@ def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], least:
         common = np.isin(found, names, assume_unique=True)
         into[np.searchsorted(names, found[common])] = number[common]
     pool = (p + u) / (n + m)
-    score = np.abs(p / n - u / m) / np.sqrt(pool * (1 - pool) * (1 / n + 1 / m) + 1e-12)
-    telling = np.flatnonzero(score >= z)
-    return np.sort(names[telling[np.lexsort((names[telling], -score[telling]))][:most]])
+    return names, p, (p / n - u / m) / np.sqrt(pool * (1 - pool) * (1 / n + 1 / m) + 1e-12)
+
+
+def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: int, z: float, most: int) -> np.ndarray:
+    """Sorted hashes of the features whose share among toxic examples differs from that in unlabelled text by ``z`` deviations.
+
+    Rows without any feature that tells toxic text are then compared among themselves,
+    round by round, so that a kind of toxicity with few examples (a rare language, say)
+    is not measured against all the others; features of these rounds are in ``least`` toxic examples.
+    """
+    names, p, score = _compared(positive, unlabelled, least)
+    telling = np.flatnonzero(np.abs(score) >= z)
+    chosen = names[telling[np.lexsort((names[telling], -np.abs(score[telling])))]]
+    toxic = names[score >= z]
+    while len(toxic) and len(chosen) < most:
+        positive, unlabelled = ([s for s in rows if not np.isin(s, toxic).any()] for rows in (positive, unlabelled))
+        if len(positive) < least or not unlabelled:
+            break
+        names, p, score = _compared(positive, unlabelled, least)
+        telling = np.flatnonzero((score >= z) & (p >= least))
+        toxic = names[telling[np.lexsort((names[telling], -score[telling]))]]
+        chosen = np.concatenate([chosen, toxic[~np.isin(toxic, chosen)]])
+    return np.sort(chosen[:most])
 
 
 def nnpu(x_pos: np.ndarray, x_unl: np.ndarray, prior: float, seed: int, steps: int = 1_500, batch: int = 512, rate: float = 0.05,
