@@ -222,3 +222,14 @@ def test_memory_exit_ends_the_conversation():
     fn = _memory_fn(2, "S")
     out = _feed(fn, 1, state, [[(0, "user", "a")], [(1, "user", "/exit")], [(2, "user", "b")]], ["turn", "role", "text"])
     assert [r[1] for r in out] == [0, 0] and state.get[2] == "{}"
+
+
+def test_repeated_rollout_does_not_stand_in_for_a_missing_one():
+    columns = ["kind", "step", "task_id", "sample_ix", "score", "chars", "elapsed_sec", "peak_gb", "n_rollouts"]
+    rows = pd.DataFrame([("rollout", 1, "t", i, float(i), 10 * i, None, None, None) for i in range(6)], columns=columns)
+    flush = rows.head(1).assign(kind="flush", elapsed_sec=3.0, peak_gb=1.0, n_rollouts=6)
+    fn, state = _make_fn(4, 512), FakeState()
+    batches = [flush, rows.head(5), rows.iloc[[4, 0]], rows.tail(1)]
+    out = [o.to_dict("records")[0] for b in batches for o in fn((1,), iter([b]), state)]
+    whole = next(fn((1,), iter([rows, flush]), FakeState())).to_dict("records")[0]
+    assert out == [pytest.approx(whole)] and out[0]["completion_chars_max"] == 50

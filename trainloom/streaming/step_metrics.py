@@ -7,8 +7,9 @@ sources have no common order, so rollouts may come after it: with a column
 ``n_rollouts`` in the timing row, the record is emitted once, when that many were
 seen; without it, the record is emitted again, corrected, whenever rollouts come
 after the timing row, and the last record of a step holds. A step that saw no
-scores emits nothing. State per step is bounded by its number of rollout groups,
-never by its rollouts; an emitted step with ``n_rollouts`` keeps a marker.
+scores emits nothing. A rollout (task_id, sample_ix) that is delivered again counts
+once. State per step is bounded by its number of rollout groups (sums, and one bit
+per rollout seen); an emitted step with ``n_rollouts`` keeps a marker.
 """
 
 from __future__ import annotations
@@ -36,9 +37,10 @@ def _fold(groups: dict, pdf: pd.DataFrame, n: int, trunc_chars: float) -> None:
         key = f"{task}|{int(ix) // n}"
         g = groups.get(key)
         t = 1 if chars / 4.0 >= trunc_chars else 0
+        bit = 1 << int(ix) % n
         if g is None:
-            groups[key] = [1, score, score, score, 0.0, chars, chars, t]
-        else:
+            groups[key] = [1, score, score, score, 0.0, chars, chars, t, bit]
+        elif not g[8] & bit:
             # Squared deviations from the running mean stay exact for equal scores.
             off = score - g[3] / g[0]
             g[0] += 1
@@ -49,6 +51,7 @@ def _fold(groups: dict, pdf: pd.DataFrame, n: int, trunc_chars: float) -> None:
             g[5] += chars
             g[6] = max(g[6], chars)
             g[7] += t
+            g[8] |= bit
 
 
 def _record(step: int, groups: dict, elapsed, peak) -> dict:
