@@ -380,6 +380,29 @@ def test_slot_map_grows_by_moves_into_new_shards_only(spark):
     assert sharding.SlotMap.load(spark, path) == new and sharding.SlotMap.load(spark, path, 1) == old
 
 
+def test_shard_edits_the_kept_map(spark, docs, tmp_path):
+    path = str(tmp_path / "map")
+
+    def run(df, n):
+        out = rows_of(sharding.shard(df, n, map_path=path))
+        load = collections.Counter()
+        for r in out:
+            load[r["shard"]] += r["size"]
+        assert len(load) == n and max(load.values()) < 1.1 * min(load.values())
+        assert len({r["map_version"] for r in out}) == 1
+        return out[0]["map_version"], {r["vslot"]: r["shard"] for r in out}
+
+    first = run(docs, 4)
+    assert first[0] == 1 and run(docs, 4) == first
+    version, grown = run(docs, 5)
+    assert version == 2 and {grown[v] for v in grown if grown[v] != first[1][v]} == {4}
+    version, fewer = run(docs, 3)
+    assert version == 3 and sharding.SlotMap.load(spark, path, 1).n_shards == 4
+    more = docs.unionByName(docs.where("doc_id % 7 = 0").withColumn("doc_id", F.col("doc_id") + 10_000))
+    version, drifted = run(more, 3)
+    assert version in (3, 4) and sum(drifted[v] == s for v, s in fewer.items()) > 0.8 * len(fewer)
+
+
 # -- 10 neighbours ---------------------------------------------------------------------
 
 def test_neighbours(spark):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trainloom.llm import ann, edits, exact, langid, minhash, packing, pieces, sharding, substring, toxicity
 from trainloom.llm.common import documents, remainder
+from trainloom.session import ensure_checkpoint_dir
 
 HELD_OUT = 2
 
@@ -55,7 +57,9 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(documents(spark, sf_dir), 40)
+    """Shards by the map kept for this input below the checkpoint folder; a later run edits it."""
+    kept = f"{ensure_checkpoint_dir(spark).rstrip('/')}/slot-map-of-{xxhash.xxh64_hexdigest(sf_dir)}"
+    return sharding.shard(documents(spark, sf_dir), 40, map_path=kept)
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ SLOTS = 8192
 # Each slot is counted in this many parts, so that no task numbers a whole slot.
 PARTS = 8
 ROW_BYTES = 16
+# A shard may hold this multiple of the mean before an edit moves slots away from it.
+DRIFT = 1.03
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,37 @@ class SlotMap:
                     load[new] += size
         return SlotMap(self.version + 1, n_shards, tuple(shards))
 
+    def edited(self, sizes: dict[int, int], n_shards: int) -> SlotMap:
+        """The map for these sizes and shards: itself if it still fits, else the next version with few slots moved."""
+        new = self.grown(sizes, n_shards) if n_shards > self.n_shards else self
+        shards, load = list(new.shards), [0] * n_shards
+        gone = [slot for slot, s in enumerate(shards) if s >= n_shards]
+        for slot, s in enumerate(shards):
+            if s < n_shards:
+                load[s] += sizes.get(slot, 0)
+
+        def move(slot: int, to: int) -> None:
+            shards[slot] = to
+            load[to] += sizes.get(slot, 0)
+
+        for slot in sorted(gone, key=lambda v: (-sizes.get(v, 0), v)):
+            move(slot, load.index(min(load)))
+        target = sum(load) / n_shards
+        held: list[list[int]] = [[] for _ in range(n_shards)]
+        for slot in sorted(range(len(shards)), key=lambda v: (-sizes.get(v, 0), v)):
+            held[shards[slot]].append(slot)
+        for s in sorted(range(n_shards), key=lambda v: (-load[v], v)):
+            for slot in held[s]:  # largest first
+                if load[s] <= target * DRIFT:
+                    break
+                size, to = sizes.get(slot, 0), load.index(min(load))
+                if size and load[to] + size <= target and load[s] - size >= target * (2 - DRIFT):
+                    load[s] -= size
+                    move(slot, to)
+        if n_shards == self.n_shards and tuple(shards) == self.shards:
+            return self
+        return SlotMap(self.version + 1, n_shards, tuple(shards))
+
     def frame(self, spark: SparkSession) -> DataFrame:
         """version, slot, shard: one row per virtual slot."""
         text = F.lit(",".join(map(str, self.shards)))
@@ -74,6 +107,20 @@ class SlotMap:
         return cls(version, rows[0]["n_shards"], tuple(r["shard"] for r in rows))
 
 
+def map_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where.suffix("/_SUCCESS"))
+
+
+def current_map(spark: SparkSession, path: str, sizes: dict[int, int], n_shards: int) -> SlotMap:
+    """The latest version at ``path`` edited for these sizes; a new version is appended."""
+    old = SlotMap.load(spark, path) if map_exists(spark, path) else None
+    new = old.edited(sizes, n_shards) if old else SlotMap.balanced(sizes, n_shards)
+    if new is not old:
+        new.save(spark, path)
+    return new
+
+
 def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32, vslot, part for every row, written to the shared folder."""
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
@@ -89,7 +136,7 @@ def slot_sizes(rows: DataFrame) -> dict[int, int]:
     return {r["vslot"]: r["bytes"] for r in rows.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect()}
 
 
-def place(rows: DataFrame, slot_map: SlotMap) -> DataFrame:
+def place(rows: DataFrame, slot_map: SlotMap, map_path: str) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version.
 
     ``slot`` numbers the rows of a shard from 0 without gaps: the rows of earlier
@@ -97,7 +144,7 @@ def place(rows: DataFrame, slot_map: SlotMap) -> DataFrame:
     row's number in its own part.
     """
     spark = rows.sparkSession
-    mapped = spark.read.parquet(slot_map.save(spark)).select("vslot", "shard", F.col("version").alias("map_version"))
+    mapped = spark.read.parquet(map_path).where(F.col("version") == slot_map.version).select("vslot", "shard", F.col("version").alias("map_version"))
     parts = rows.groupBy("vslot", "part").agg(F.count("*").alias("n")).join(F.broadcast(mapped), "vslot")
     before = Window.partitionBy("shard").orderBy("vslot", "part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("vslot", "part", "shard", "map_version", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -108,13 +155,17 @@ def place(rows: DataFrame, slot_map: SlotMap) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard"), "vslot", "map_version"))
 
 
-def shard(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text", map_path: str | None = None) -> DataFrame:
     """Every row's shard under the law ``bytes``: shards of nearly equal size.
 
     A row's size is the UTF-8 bytes of its text (null: none) plus 16. Null ids
     hash by their text alone; rows equal in id and text share a slot. Ties in
     slot size go to the smaller slot. An empty table gives no row. Other columns
     are not read.
+
+    The slot map at ``map_path`` is loaded, edited for the sizes and ``n_shards`` if
+    it no longer fits, and the next version appended; without a path, or a map
+    there, it starts with version 1. One run at a time may edit a map.
     """
-    rows = records(df, id_col, text_col)
-    return place(rows, SlotMap.balanced(slot_sizes(rows), n_shards))
+    rows, path = records(df, id_col, text_col), map_path or shared_path(df.sparkSession, "slot-map")
+    return place(rows, current_map(df.sparkSession, path, slot_sizes(rows), n_shards), path)
