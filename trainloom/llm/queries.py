@@ -7,7 +7,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trainloom.llm import ann, edits, exact, langid, minhash, packing, pieces, sharding, substring, toxicity
+from trainloom.llm import (ann, contamination, divergence, edits, exact, langid, minhash, negatives, packing, pieces, sharding, substring,
+                           toxicity)
 from trainloom.llm.common import documents, remainder
 from trainloom.session import ensure_checkpoint_dir
 
@@ -66,13 +67,35 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole components, one label in seven moved on, and every hundredth vector as anchor.
+
+    Rows with a null, infinite or undefined component take no part."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = e.where(finite).select("vec_id", moved.alias("label"), whole.alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = contamination.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks.drop("spans", "items")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id, op3_exact_dedup, op4_pieces, op5_toxicity, op6_substring_dedup,
-                                   op7_edit_counts, op8_near_dedup, op9_sharding, op10_neighbours, pipeline)}
+                                   op7_edit_counts, op8_near_dedup, op9_sharding, op10_neighbours, op11_hard_negatives,
+                                   op12_decontamination, op13_source_divergence, pipeline)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -92,4 +115,58 @@ ORACLE_SQL = {
         select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
                sha256(coalesce(t, '')) as kept_sha256
         from d left join kept on kept.doc_id = d.doc_id""",
+    "op11_hard_negatives": """
+        with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                          list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+                   from embeddings where vec_id is not null and label is not null and embedding is not null
+                   and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select a.vec_id as anchor_id, a.label as own, b.vec_id, b.label, cast(list_inner_product(a.v, b.v) as bigint) as score
+              from e a join e b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+        p as (select anchor_id, vec_id as positive_id, score as positive_score from s where label = own
+              qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select p.anchor_id, positive_id, cast(row_number() over w as integer) as rank, vec_id as negative_id, positive_score, score as negative_score
+        from p join s on s.anchor_id = p.anchor_id and s.label <> s.own and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+        window w as (partition by p.anchor_id, positive_id order by score desc, vec_id) qualify rank <= 10""",
+    "op12_decontamination": r"""
+        with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+        b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where item_id is not null),
+        win as (select distinct item_id, least(10, len(w)) as m, array_to_string(w[i:i + 9], ' ') as words
+                from b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as u(i) where len(w) > 0),
+        widths as (select distinct m from win),
+        s as (select doc_id, m, i as start, array_to_string(w[i:i + m - 1], ' ') as words
+              from d, widths, unnest(range(1, len(w) - m + 2)) as u(i)),
+        found as (select s.doc_id, s.m, s.start, win.item_id from s join win on win.m = s.m and win.words = s.words),
+        hit as (select doc_id, count(distinct start + j) as n_hit from found, unnest(range(m)) as v(j) group by doc_id),
+        items as (select doc_id, count(*) as n_items, sha256(string_agg(id, ',' order by id)) as sha
+                  from (select distinct doc_id, cast(item_id as varchar) as id from found) group by doc_id)
+        select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               coalesce(sha, sha256('')) as items_sha256, n_hit is not null as contaminated
+        from d left join hit on hit.doc_id = d.doc_id left join items on items.doc_id = d.doc_id""",
+    "op13_source_divergence": r"""
+        with d as (select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+        t as (select row, lang, source, unnest(w) as term from d),
+        kept as (select lang, term, count(*) as n from t group by lang, term having count(distinct row) >= 3),
+        c as (select lang, source, term, count(*) as n from t semi join kept on kept.lang = t.lang and kept.term = t.term group by lang, source, term),
+        ltot as (select lang, sum(n) as total, count(*) as v from kept group by lang),
+        gtot as (select lang, source, sum(n) as total from c group by lang, source),
+        g as (select distinct lang, source from d),
+        p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+                     1 + (1000000000 * (coalesce(c.n, 0) + 1)) // cast(coalesce(gtot.total, 0) + l.v as bigint) as p,
+                     1 + (1000000000 * (k.n + 1)) // cast(l.total + l.v as bigint) as q
+              from g join kept k on k.lang = g.lang join ltot l on l.lang = g.lang
+              left join gtot on gtot.lang = g.lang and gtot.source = g.source
+              left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+        pairs as (select a.lang, a.source, b.source as item, cast(sum((a.p - b.p) * (a.p - b.p) // b.p) as bigint) as value
+                  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by a.lang, a.source, b.source),
+        every as (select a.lang, a.source, b.source as item, coalesce(value, 0) as value from g a join g b on a.lang = b.lang and a.source <> b.source
+                  left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source),
+        terms as (select lang, source, term as item, (p - q) * (p - q) // q as value from p where n > 0 and p > q)
+        select lang, source, 'pair' as part, item, value, cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank from every
+        union all
+        select lang, source, 'term', item, value, cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank
+        from terms qualify rank <= 200""",
 }
