@@ -37,7 +37,7 @@ def terms_of(text: bytes) -> list[bytes]:
 COUNTS = "lang string, source string, term string, n long, docs long"
 
 
-def _counts(batches: Iterator[pa.RecordBatch], held_entries: int = 300_000) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], held_entries: int = 700_000) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents by language, source and term, summed over part of a task."""
     held: dict[tuple, tuple[Counter, Counter]] = {}
 
@@ -95,7 +95,7 @@ def skyband(group: np.ndarray, lang: np.ndarray, place: np.ndarray, k: int, bloc
     return np.concatenate(kept) if kept else np.empty(0, np.int64)
 
 
-def _skybands(batches: Iterator[pa.RecordBatch], k: int, chunk_rows: int = 200_000) -> Iterator[pa.RecordBatch]:
+def _skybands(batches: Iterator[pa.RecordBatch], k: int, chunk_rows: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The skyband of each (lang, source) among the rows of a task; holds a chunk and the rows kept so far."""
     held: list[pa.RecordBatch] = []
 
@@ -189,7 +189,7 @@ def _value(p: str, q: str) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def audit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = 3, k: int = K, salts: int = 64) -> DataFrame:
+def audit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = 3, k: int = K, salts: int = 8) -> DataFrame:
     """Rows of two parts: lang, source, part, item, value, rank.
 
     Null text, language and source count as empty. A language keeps the terms that
