@@ -9,14 +9,18 @@ have equal anchors at equal places, and neighbours mostly share theirs.
 1. Prefix partition: count the texts that hold each anchor prefix. A prefix in
    one text only cannot lead to a repeat and goes.
 2. Suffixes at the other anchors carry the words around them, and are grouped by
-   prefix. A group of more than ``group_rows`` suffixes does not stay whole: its
-   prefix is lengthened to the full window, where equal suffixes are combined on
-   the map side before they meet.
-3. Each remaining group is small. Its suffix tree, cut at depth ``width``, is
-   built by sorting the suffixes that start up to ``width - prefix`` words left
-   of the anchor; neighbours with a common prefix of ``width`` words lie under
+   prefix. A group of up to ``group_rows`` suffixes is small: its suffix tree, cut at
+   depth ``width``, is built by sorting the suffixes that start up to ``width - prefix``
+   words left of the anchor; neighbours with a common prefix of ``width`` words lie under
    one deep internal node. A node with leaves from several documents is a repeat;
    its leaves outside the smallest document are covered.
+3. The prefixes of larger groups are lengthened, longest first. Neighbouring anchors of
+   a text form runs, cut at places that the words choose; equal runs of all texts meet as
+   one key, combined on the map side. Whoever is not the smallest document of a run is
+   covered over the whole run and done; one document of each distinct run goes on, with
+   the words of each anchor's windows as the key, and then with each window.
+   The smallest document of any window is the smallest of every run that holds
+   it, so it always goes on.
 4. Covered words are cut out of their documents.
 """
 
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from trainloom.llm.common import window_hashes, write_shared
 
-WIDTH, PREFIX, GROUP_ROWS = 13, 7, 4_000
+WIDTH, PREFIX, GROUP_ROWS, RUN = 13, 7, 4_000, 8
 # Fixed value: words are runs of anything but these characters.
 _WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -94,60 +98,105 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Ite
             yield out()
 
 
-SUFFIX = "prefix long, w1 long, w2 long, doc_id long, position int, windows int, around binary"
+def _with_ids(batch: pa.RecordBatch) -> list:
+    """doc_id, text_key, text and the shared prefixes of a batch's texts."""
+    return [batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), *(batch.column(c) for c in ("text", "prefixes", "overfull"))]
+
+
+SUFFIX = "prefix long, doc_id long, text_key long, position int, windows int, around binary"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
-    """Suffixes of the texts at their shared anchors.
+    """Suffixes of the texts at their shared anchors in small groups.
 
-    In small groups, one row per anchor: prefix, doc, position, the windows it
-    anchors (bit l: the one that starts l words before it) and 32-bit hashes of
-    the words around it. In overfull groups, one row per window: 128 hash bits of
-    its words, doc and start (``around`` is null).
+    One row per anchor: prefix, doc and key of its text, position, the windows it anchors (bit l: the one
+    that starts l words before it) and 32-bit hashes of the words around it.
     """
     reach = width - prefix
     span = 2 * reach + prefix
-    none, names, held = np.empty(0, np.int64), [c.split()[0] for c in SUFFIX.split(", ")], []
+    names, held = [c.split()[0] for c in SUFFIX.split(", ")], []
 
     def out() -> pa.RecordBatch:
-        prefixes, w1, w2, docs, places, bits, near, plain = zip(*held)
+        prefixes, docs, keys, places, bits, near = zip(*held)
         held.clear()
-        numbers = [np.concatenate(c) for c in (prefixes, w1, w2, docs, places, bits)]
-        # Rows of overfull groups have no words around: a null each.
-        there = np.concatenate(plain)
-        offsets = np.concatenate(([0], np.cumsum(there * (4 * span)))).astype(np.int32)
-        valid = pa.py_buffer(np.packbits(there, bitorder="little").tobytes())
-        around = pa.Array.from_buffers(pa.binary(), len(there), [valid, pa.py_buffer(offsets), pa.py_buffer(b"".join(near))])
+        numbers = [np.concatenate(c) for c in (prefixes, docs, keys, places, bits)]
+        offsets = (np.arange(len(numbers[0]) + 1) * (4 * span)).astype(np.int32)
+        around = pa.Array.from_buffers(pa.binary(), len(numbers[0]), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(near))])
         return pa.RecordBatch.from_arrays([*map(pa.array, numbers), around], names)
 
     for batch in batches:
-        docs = batch.column("doc_id").to_pylist()
-        for doc, text, shared, overfull in zip(docs, batch.column("text"), batch.column("prefixes"), batch.column("overfull")):
+        for doc, text_key, text, shared, overfull in zip(*_with_ids(batch)):
+            chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
+            if large.all():
+                continue
             h = word_hashes(words_of(text.as_py()))
             at, distinct, hashes = anchors(h, width, prefix)
-            chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
             keys = hashes.view(np.int64)
-            is_small = np.isin(keys, chosen[~large])
-            small = distinct[is_small]
+            own = np.isin(keys, chosen[~large])
+            small = distinct[own]
             starts = np.flatnonzero(np.isin(at, small))
             bits = np.zeros(len(small), np.int32)
             np.bitwise_or.at(bits, np.searchsorted(small, at[starts]), (1 << (at[starts] - starts)).astype(np.int32))
             edge = np.zeros(reach, np.uint32)
             short = np.concatenate((edge, (h >> np.uint64(32)).astype(np.uint32), edge))
-            around = np.ascontiguousarray(sliding_window_view(short, span)[small]).tobytes() if len(small) else b""
-            long = np.flatnonzero(np.isin(at, distinct[np.isin(keys, chosen[large])])) if large.any() else none
-            a, b = (window_hashes(h, width, seed)[long].view(np.int64) if len(long) else none for seed in (1, 2))
-            n, m = len(small), len(long)
-            gap, rest = np.zeros(n, np.int64), np.zeros(m, np.int64)
-            held.append((np.concatenate((keys[is_small], rest)), np.concatenate((gap, a)), np.concatenate((gap, b)), np.full(n + m, doc, np.int64),
-                         np.concatenate((small, long)).astype(np.int32), np.concatenate((bits, rest)).astype(np.int32), around,
-                         np.concatenate((np.ones(n, bool), np.zeros(m, bool)))))
+            around = np.ascontiguousarray(sliding_window_view(short, span)[small]).tobytes()
+            held.append((keys[own], np.full(len(small), doc, np.int64), np.full(len(small), text_key, np.int64), small.astype(np.int32), bits, around))
             if len(held) >= 256:
                 yield out()
         if held:
             yield out()
 
 
+WINDOWS = "array<struct<a:bigint,b:bigint>>"
+PLACES = f"array<struct<a:bigint,b:bigint,start:int,n:int,windows:{WINDOWS}>>"
+RUNS = f"a long, b long, doc_id long, text_key long, start int, n int, places {PLACES}"
+
+
+def _digests(h: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """128 hash bits of the words of each range, as two columns."""
+    raw = h.tobytes()
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[8 * i:8 * j]) for i, j in zip(starts.tolist(), stops.tolist())), np.int64).reshape(-1, 2)
+
+
+def _list(values: pa.Array, first: np.ndarray, total: int) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(first, total).astype(np.int32)), values)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
+    """Runs of neighbouring anchors in overfull groups, with their places and windows inside.
+
+    Each level has 128 hash bits of the words that its windows cover, the first window's
+    start and the number of windows.
+    """
+    for batch in batches:
+        for doc, text_key, text, shared, overfull in zip(*_with_ids(batch)):
+            chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
+            h = word_hashes(words_of(text.as_py()))
+            at, distinct, hashes = anchors(h, width, prefix)
+            hot = np.flatnonzero(np.isin(hashes.view(np.int64), chosen[large]))
+            if not len(hot):
+                continue
+            # An anchor's windows start one after the other.
+            start, stop = np.searchsorted(at, distinct[hot], "left"), np.searchsorted(at, distinct[hot], "right")
+            ends_run = (hashes[hot] >> np.uint64(7)) % np.uint64(RUN) == 0
+            new = np.ones(len(hot), bool)
+            new[1:] = (np.diff(hot) != 1) | ends_run[:-1]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(hot)) - 1
+            size = stop - start
+            total = int(size.sum())
+            begin = np.cumsum(size) - size
+            window = np.arange(total) - np.repeat(begin - start, size)
+            pair = [pa.array(window_hashes(h, width, seed)[window].view(np.int64)) for seed in (1, 2)]
+            windows = _list(pa.StructArray.from_arrays(pair, ["a", "b"]), begin, total)
+            place, run = _digests(h, start, stop + width - 1), _digests(h, start[first], stop[last] + width - 1)
+            columns = [pa.array(place[:, 0]), pa.array(place[:, 1]), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), windows]
+            places = _list(pa.StructArray.from_arrays(columns, ["a", "b", "start", "n", "windows"]), first, len(hot))
+            n = (stop[last] - start[first]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(run[:, 0]), pa.array(run[:, 1]), pa.array(np.full(len(first), doc, np.int64)), pa.array(np.full(len(first), text_key, np.int64)),
+                                              pa.array(start[first].astype(np.int32)), pa.array(n), places], ["a", "b", "doc_id", "text_key", "start", "n", "places"])
+
+
 def covered_by_tree(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, around: np.ndarray, width: int, reach: int) -> np.ndarray:
     """Bit l of a row: the window that starts l words left of its anchor repeats one of a smaller document.
 
@@ -185,11 +234,11 @@ def _trees(batches: Iterator[pa.RecordBatch], width: int, prefix: int, chunk_row
 
     def grow(table: pa.Table) -> pa.RecordBatch | None:
         around = np.frombuffer(b"".join(table["around"].to_pylist()), np.uint32).reshape(table.num_rows, 2 * reach + prefix)
-        doc, position = table["doc_id"].to_numpy(), table["position"].to_numpy()
+        doc, text_key, position = (table[c].to_numpy() for c in ("doc_id", "text_key", "position"))
         hit = covered_by_tree(table["prefix"].to_numpy(), doc, table["windows"].to_numpy(), around, width, reach)
         keep = np.flatnonzero(hit)
         if len(keep):
-            return pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(position[keep]), pa.array(hit[keep])], ["doc_id", "position", "covered"])
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (doc, text_key, position, hit)], ["doc_id", "text_key", "position", "covered"])
         return None
 
     for batch in batches:
@@ -216,6 +265,9 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, prefix: int, full: bool)
             edge = np.zeros(len(w) + 1, np.int64)
             at = np.array(marks.values.field("position").to_numpy(zero_copy_only=False), np.int64)
             bits = np.array(marks.values.field("covered").to_numpy(zero_copy_only=False), np.int64)
+            runs = np.array(marks.values.field("n").to_numpy(zero_copy_only=False), np.int64)
+            np.add.at(edge, at[runs > 0], 1)
+            np.add.at(edge, (at + runs + width - 1)[runs > 0], -1)
             for left in range(reach + 1):
                 starts = at[bits >> left & 1 == 1] - left
                 np.add.at(edge, starts, 1)
@@ -232,6 +284,17 @@ def _text_key(text: Column) -> Column:
     return F.xxhash64(text, F.lit(29))
 
 
+def _smallest(rows: DataFrame) -> DataFrame:
+    """The smallest document of each key that several documents have."""
+    return rows.groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+
+
+def _settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that a smaller document has as well, rows that go on to shorter keys)."""
+    known = write_shared(rows.join(_smallest(rows), ["a", "b"], "left"), name)
+    return known.where("doc_id > low"), known.where("low is null or doc_id <= low").drop("low")
+
+
 def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, prefix: int = PREFIX,
             group_rows: int = GROUP_ROWS, full: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records of all rows with the first document of their words, cut texts).
@@ -256,16 +319,19 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         "doc_id", "text_key", F.col("p.prefix").alias("prefixes"), F.col("p.overfull").alias("overfull"))
     texts = write_shared(source.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "suffix-texts")
 
-    suffixes = write_shared(texts.mapInArrow(partial(_suffixes, width=width, prefix=prefix), SUFFIX), "suffixes")
-    small = (suffixes.where("around is not null").select("prefix", "doc_id", "position", "windows", "around")
+    small = (texts.mapInArrow(partial(_suffixes, width=width, prefix=prefix), SUFFIX)
              .repartition("prefix").sortWithinPartitions("prefix")
-             .mapInArrow(partial(_trees, width=width, prefix=prefix), "doc_id long, position int, covered int"))
-    windows = suffixes.where("around is null").select("w1", "w2", "doc_id", F.col("position").alias("start"))
-    smallest = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    long = windows.join(smallest.select("w1", "w2", "low"), ["w1", "w2"]).where("doc_id > low").select(
-        "doc_id", F.col("start").alias("position"), F.lit(1).alias("covered"))
-    marks = small.unionByName(long).groupBy("doc_id").agg(F.collect_list(F.struct("position", "covered")).alias("marks"))
-    cut = texts.select("doc_id", "text_key", "text").join(marks, "doc_id").mapInArrow(
+             .mapInArrow(partial(_trees, width=width, prefix=prefix), "doc_id long, text_key long, position int, covered int"))
+    hot = texts.where(F.exists("overfull", lambda x: x)).mapInArrow(partial(_runs, width=width, prefix=prefix), RUNS)
+    covered, rest = _settle(write_shared(hot, "runs"), "runs")
+    inner = rest.select("doc_id", "text_key", F.explode("places").alias("p")).select("p.a", "p.b", "doc_id", "text_key", "p.start", "p.n", "p.windows")
+    covered_places, rest = _settle(inner, "places")
+    inner = rest.select("doc_id", "text_key", "start", F.posexplode("windows").alias("i", "w")).select("w.a", "w.b", "doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
+    covered_windows = inner.join(_smallest(inner), ["a", "b"]).where("doc_id > low")
+    long = [c.select("doc_id", "text_key", F.col("start").alias("position"), F.lit(0).alias("covered"), "n") for c in (covered, covered_places, covered_windows)]
+    marks = small.withColumn("n", F.lit(0)).unionByName(long[0]).unionByName(long[1]).unionByName(long[2])
+    marks = marks.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("position", "covered", "n")).alias("marks"))
+    cut = texts.select("doc_id", "text_key", "text").join(marks, ["doc_id", "text_key"]).mapInArrow(
         partial(_cut, width=width, prefix=prefix, full=full), "doc_id long, text_key long, n_removed long, kept_sha256 string, kept_text string")
     return records.join(firsts.select("sha", F.col("first.doc_id").alias("first"), F.col("first.text_key").alias("first_key")), "sha", "left"), cut
 
@@ -301,11 +367,12 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     is set to the new length), all others stay as they are.
     """
     changed = remove_repeats(df, id_col, text_col, full=True, **options).where("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("kept_text").alias("__kept")).dropDuplicates(["__id", "__key"])
+        "doc_id", "text_key", "kept_text").dropDuplicates(["doc_id", "text_key"])
     key = _text_key(F.coalesce(df[text_col].cast("string"), F.lit("")))
-    joined = df.withColumn("__key", key).withColumn("__id", df[id_col].cast("long")).join(changed, ["__id", "__key"], "left")
-    text = F.coalesce("__kept", text_col)
-    columns = [text.alias(c) if c == text_col
-               else F.when(F.col("__kept").isNotNull(), F.length("__kept").cast(t)).otherwise(F.col(c)).alias(c) if c == length_col else F.col(c)
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[id_col].cast("long").alias("doc_id"), key.alias("text_key"))
+    rows = rows.join(changed, ["doc_id", "text_key"], "left")
+    kept, cell = F.col("kept_text"), lambda c: F.col("row").getField(c)
+    columns = [F.coalesce(kept, cell(c)).alias(c) if c == text_col
+               else F.when(kept.isNotNull(), F.length(kept).cast(t)).otherwise(cell(c)).alias(c) if c == length_col else cell(c).alias(c)
                for c, t in df.dtypes]
-    return joined.select(*columns)
+    return rows.select(*columns)
