@@ -11,6 +11,8 @@ from trainloom.config import JobParams
 from trainloom.functions import messages as M
 from trainloom.functions import text as T
 from trainloom.functions.mutation import apply_mutation, mutation_choices
+from trainloom.functions.tokens import token_length
+from trainloom.operators.accounting import StageCounts
 from trainloom.operators.conversations import to_messages
 from trainloom.operators.filters import domain_filter
 from trainloom.operators.sampling import seeded_cap
@@ -155,3 +157,19 @@ def sft_records(turns: DataFrame, params: JobParams | None = None, n: int | None
     msgs = M.ensure_system("messages")
     return recs.select(key, F.size(msgs).alias("n_messages"), M.render_chat(msgs).alias("text"),
                        "token_length")
+
+
+def sft_records_exact(turns: DataFrame, tokenizer_path: str, params: JobParams | None = None, n: int | None = None,
+                      max_tokens: int | None = None, key: str = "conv_id", order: str = "turn",
+                      counts: StageCounts | None = None) -> DataFrame:
+    """SFT records by the exact token length of a tokenizer (M10) instead of the estimate:
+    M4 -> M9 -> M10 -> F3 -> L1/L2 -> P3. ``counts`` counts the rows of the stages on the way.
+
+    The length needs the rendered text, so all conversations are rendered."""
+    p, counts = params or JobParams(), counts or StageCounts()
+    msgs = M.ensure_system("messages")
+    recs = counts.count(to_messages(turns.select(key, order, "role", "text"), key, order), "rendered")
+    recs = recs.select(key, F.size(msgs).alias("n_messages"), M.render_chat(msgs).alias("text"))
+    recs = recs.withColumn("token_length", token_length("text", tokenizer_path))
+    fits = counts.count(recs.where(F.col("token_length") <= (p.max_seq_length if max_tokens is None else max_tokens)), "fits")
+    return counts.count(seeded_cap(fits, key, n, p.seed), "capped").drop("token_length")

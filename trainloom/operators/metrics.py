@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trainloom import config as C
 from trainloom.functions import text as T
+from trainloom.operators.indexing import numbered
 
 
 def group_index(sample_ix: str = "sample_ix", n: int = C.NUM_GENERATIONS):
@@ -31,6 +32,18 @@ def rollout_groups(scored: DataFrame, n: int = C.NUM_GENERATIONS,
             .withColumn("zero_variance", (F.col("n") > 1) & ((F.col("hi") - F.col("lo")) < C.ZERO_VARIANCE_EPS)))
 
 
+def step_groups(scored: DataFrame, n: int = C.NUM_GENERATIONS, order: tuple[str, ...] = ("task_id", "sample_ix")) -> DataFrame:
+    """A4 over whole steps: the rollouts of a step in ``order``, cut into runs of ``n``. A run
+    may straddle prompts and the last one may be short. Returns step, grp, n, lo, hi, zero_variance.
+
+    Places come from a distributed numbering, so a step of any size is not gathered.
+    """
+    rows = numbered(scored.select("step", *order, "score"), list(order), by=["step"], name="row_index")
+    runs = rows.groupBy("step", F.floor(F.col("row_index") / F.lit(max(1, n))).alias("grp"))
+    return (runs.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+            .withColumn("zero_variance", (F.col("n") > 1) & ((F.col("hi") - F.col("lo")) < C.ZERO_VARIANCE_EPS)))
+
+
 def step_metrics(scored: DataFrame, timing: DataFrame | None = None, n: int = C.NUM_GENERATIONS,
                  max_completion_length: int = C.MAX_COMPLETION_LENGTH) -> DataFrame:
     """A5: one record per step with scores: mean, population std (0.0 for one

@@ -91,6 +91,9 @@ OUTCOME_PASSED_SQL = ("CASE WHEN l_suppkey % 5 = 0 THEN TRUE WHEN l_suppkey % 5
                       "ELSE (l_partkey + test_ix) % 2 = 0 END")
 OUTCOME_PRESENT_SQL = "(l_suppkey + test_ix) % 7 <> 0"
 
+# Probe generations that failed as such.
+PROBE_FAILED_SQL = "NOT ran_ok AND l_suppkey % 4 <> 0"
+
 # step_timing: wall time and peak memory per step.
 TIMING_SQL = """
 SELECT CAST(o_orderkey % 200 AS INT) AS step, max(o_totalprice) AS elapsed_sec,
@@ -129,6 +132,26 @@ SELECT doc_id,
 FROM {{documents}}
 """
 
+# mixed_sources: one training row per document, of five kinds.
+MIXED_SQL = f"""
+SELECT doc_id AS id, CAST(doc_id % 5 AS INT) AS kind,
+  CASE WHEN doc_id % 5 = 0 THEN 'Problem ' || {_D} ELSE '' END AS problem,
+  CASE WHEN doc_id % 5 = 0 THEN 'Reasoning on ' || source END AS deepseek_reasoning,
+  CASE WHEN doc_id % 5 = 0 THEN '```python' || {NL} || 'x = ' || {_D} || {NL} || '```' END AS deepseek_solution,
+  'Question ' || {_D} AS question, 'Answer ' || lang AS answer, text, lang, source
+FROM {{documents}}
+"""
+
+# document_replies: a chat reply per document, with every arrangement of the reasoning tags.
+REPLIES_SQL = f"""
+SELECT 'd' || {_D} AS reply_id,
+  CASE doc_id % 4 WHEN 0 THEN coalesce(text, '')
+       WHEN 1 THEN '<think>' || coalesce(source, '') || {NL} || coalesce(text, '')
+       WHEN 2 THEN '<think>' || coalesce(text, '') || '</think>' || {NL} || coalesce(source, '') || '<think>x</think>' || coalesce(lang, '')
+       ELSE coalesce(source, '') || '</think>' || coalesce(text, '') || '<think>' || coalesce(lang, '') END AS reply
+FROM {{documents}}
+"""
+
 _C = _s("conv_id")
 # sharegpt_rows: conversation turns in ShareGPT form with both key styles.
 SHAREGPT_SQL = """
@@ -201,6 +224,20 @@ class Derived:
     def doctest_prompts(self) -> DataFrame:
         return self._sql(PROMPTS_SQL, documents="documents")
 
+    def mixed_sources(self) -> DataFrame:
+        t = self._sql(MIXED_SQL, documents="documents")
+        turn = lambda who, what: F.struct(F.lit(who).alias("from"), F.lit(None).cast("string").alias("role"),
+                                          F.col(what).alias("value"), F.lit(None).cast("string").alias("content"))
+        turns = F.array(turn("human", "text"), turn("gpt", "lang"), turn("narrator", "source"))
+        said = lambda role, what: F.struct(F.lit(role).alias("role"), F.col(what).alias("content"))
+        return (t.withColumn("conversations", F.when(F.col("kind") == 1, turns).when(F.col("kind") == 4, F.slice(turns, 1, 0)))
+                 .withColumn("messages", F.when(F.col("kind") == 2, F.array(said("system", "source"), said("user", "text"), said("assistant", "lang")))
+                             .when(F.col("kind") == 3, F.array(said("user", "text"), said("assistant", "source"))))
+                 .select("id", "problem", "deepseek_reasoning", "deepseek_solution", "question", "answer", "conversations", "messages"))
+
+    def document_replies(self) -> DataFrame:
+        return self._sql(REPLIES_SQL, documents="documents")
+
     def sharegpt_turns(self) -> DataFrame:
         return self._sql(SHAREGPT_SQL, conversations="conversations")
 

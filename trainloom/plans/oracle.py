@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from trainloom import config as C
 from trainloom.functions.text import LINE_BREAK_RE, PY_WHITESPACE, WORD, WS
-from trainloom.plans.derived import (BENCH_SQL, CHAT_INPUT_SQL, OUTCOME_PASSED_SQL, OUTCOME_PRESENT_SQL,
-                                     PROMPTS_SQL, REASONING_SQL, ROLLOUTS_SQL, SHAREGPT_SQL, TASKS_SQL,
+from trainloom.plans.derived import (BENCH_SQL, CHAT_INPUT_SQL, MIXED_SQL, OUTCOME_PASSED_SQL, OUTCOME_PRESENT_SQL,
+                                     PROBE_FAILED_SQL, PROMPTS_SQL, REASONING_SQL, ROLLOUTS_SQL, SHAREGPT_SQL, TASKS_SQL,
                                      TIMING_SQL, duck)
 
 
@@ -262,6 +262,19 @@ COMPLETION_STATS = (f"{_R}, CAST(length(completion) AS BIGINT) AS completion_cha
                     f"length(completion) / 4 >= {C.MAX_COMPLETION_LENGTH * C.TRUNCATION_FRACTION!r} AS truncated "
                     f"FROM rollouts")
 
+COMPLETION_TEXTS = f"{_R}, CASE WHEN l_partkey % 3 = 0 THEN 'first: ' || completion ELSE completion END AS text FROM rollouts"
+
+SOURCE_MESSAGES = f"""
+WITH s AS ({duck(MIXED_SQL)}),
+m0 AS (SELECT id, CASE kind
+   WHEN 0 THEN [{msg("'user'", "problem")}, {msg("'assistant'", "'<think>' || chr(10) || deepseek_reasoning || chr(10) || '</think>' || chr(10) || chr(10) || '```python' || chr(10) || 'x = ' || CAST(id AS VARCHAR) || chr(10) || '```'")}]
+   WHEN 1 THEN [{msg("'user'", "coalesce(text, '')")}, {msg("'assistant'", "coalesce(lang, '')")}, {msg("'user'", "coalesce(source, '')")}]
+   WHEN 2 THEN [{msg("'system'", "source")}, {msg("'user'", "text")}, {msg("'assistant'", "lang")}]
+   WHEN 3 THEN [{msg("'user'", "text")}, {msg("'assistant'", "source")}]
+   ELSE [{msg("'user'", "question")}, {msg("'assistant'", "coalesce(answer, '')")}] END AS m FROM s),
+fm AS (SELECT id, {ensure_system('m')} AS m FROM m0)
+{explode('fm', 'id')}"""
+
 DOCTEST_CANDIDATES = f"""
 WITH p AS ({duck(PROMPTS_SQL)}),
 s AS (SELECT doc_id, string_split_regex(coalesce(prompt, ''), '{LINE_BREAK_RE}') AS raw FROM p),
@@ -341,6 +354,8 @@ verdict AS (SELECT *, errored OR NOT (mn >= 1 - {C.ZERO_VARIANCE_EPS} OR mx <= {
 PROBE_VERDICTS = f"""{BASE}, {PROBE}
 SELECT task_id, round(mn, 6) AS min_score, round(mx, 6) AS max_score, errored, keep FROM verdict"""
 
+PROBE_VERDICTS_ERRORS = PROBE_VERDICTS.replace("false AS errored", f"bool_or({PROBE_FAILED_SQL}) AS errored")
+
 CURRICULUM_TASKS = f"""{BASE}, {PROBE}
 SELECT task_id FROM tasks WHERE task_id NOT IN (SELECT task_id FROM verdict WHERE NOT keep)"""
 
@@ -483,6 +498,9 @@ ORACLE_SQL: dict[str, str] = {
     "step_metrics": STEP_METRICS,
     "run_report": RUN_REPORT,
     "probe_verdicts": PROBE_VERDICTS,
+    "probe_verdicts_errors": PROBE_VERDICTS_ERRORS,
+    "completion_texts": COMPLETION_TEXTS,
+    "source_messages": SOURCE_MESSAGES,
     "curriculum_tasks": CURRICULUM_TASKS,
     "curriculum_accounting": CURRICULUM_ACCOUNTING,
     "best_of_k": BEST_OF_K,

@@ -22,8 +22,9 @@ from trainloom.operators import evaluation as EV
 from trainloom.operators import metrics as ME
 from trainloom.operators import scoring as SC
 from trainloom.operators.sampling import seeded_cap
-from trainloom.plans.derived import Derived
+from trainloom.plans.derived import PROBE_FAILED_SQL, Derived
 from trainloom.sources.catalog import smoke_slice
+from trainloom.sources.shared import materialise
 from trainloom.streaming.think_stream import split_chunked_replies, chunk_text
 
 R6 = 6
@@ -192,6 +193,20 @@ def q_completion_stats(spark: SparkSession, sf: str) -> DataFrame:
                     r6(T.approx_tokens(n)).alias("approx_tokens"), T.is_truncated(n).alias("truncated"))
 
 
+def q_completion_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies as message lists, as empty lists and as plain strings."""
+    r = Derived(spark, sf).rollouts()
+    reply = M.messages(("assistant", F.concat(F.lit("first: "), F.col("completion"))), ("user", "second"))
+    msgs = F.when(F.col("l_partkey") % 3 == 0, reply).when(F.col("l_partkey") % 3 == 1, M.empty_messages())
+    return r.select("task_id", F.col("sample_ix").cast("bigint").alias("sample_ix"), T.completion_text(msgs, "completion").alias("text"))
+
+
+def q_source_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """M2 over all its kinds of rows: problem and solution, ShareGPT turns, messages, question and answer."""
+    rows = Derived(spark, sf).mixed_sources()
+    return explode_messages(rows.select("id", DS.source_messages(rows).alias("messages")), "id")
+
+
 def q_think_stream(spark: SparkSession, sf: str) -> DataFrame:
     """T1 over chunked replies; must equal the batch split."""
     r = _replies(spark, sf)
@@ -226,10 +241,13 @@ def q_doctest_asserts(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- E2: scoring and telemetry ------------------------------------------------------
 
-def _graded(d: Derived, hidden: bool, probed: DataFrame | None = None) -> DataFrame:
+def _graded(d: Derived, hidden: bool, probed: DataFrame | None = None, only: DataFrame | None = None) -> DataFrame:
     """J1 + J4 + A1 over all rollouts, on the tasks' hidden or public tests (M6).
-    With ``probed`` keys, over those tasks' first rollouts only."""
+    With ``probed`` keys, over those tasks' first rollouts only; with ``only``, over the
+    rollouts (task_id, sample_ix) that it names."""
     r = d.rollouts()
+    if only is not None:
+        r = r.join(only, ["task_id", "sample_ix"], "left_semi")
     if probed is not None:
         r = r.filter(F.col("sample_ix") < JobParams().probe_generations).join(F.broadcast(probed), "task_id", "left_semi")
     lists = DS.split_tests("test_list")
@@ -290,7 +308,8 @@ def q_step_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    rep = ME.run_report(_step_metrics(Derived(spark, sf)))
+    # One row per step, read three times: computed once.
+    rep = ME.run_report(materialise(_step_metrics(Derived(spark, sf)), "step-metrics"))
     cols = []
     for name, typ in rep.dtypes:
         cols.append(r6(name).alias(name) if typ == "double" else F.col(name).cast("bigint").alias(name))
@@ -299,9 +318,10 @@ def q_run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- curriculum -------------------------------------------------------------------
 
-def _probe_scores(d: Derived, probed: DataFrame) -> DataFrame:
-    """Scores of the probed tasks' generations; only these are graded."""
-    return _graded(d, hidden=True, probed=probed).select("task_id", F.col("frac").alias("score"), F.lit(False).alias("errored"))
+def _probe_scores(d: Derived, probed: DataFrame, errored: str = "false") -> DataFrame:
+    """Scores of the probed tasks' generations; only these are graded. ``errored`` tells
+    which generations failed as probes."""
+    return _graded(d, hidden=True, probed=probed).select("task_id", F.col("frac").alias("score"), F.expr(errored).alias("errored"))
 
 
 def q_probe_verdicts(spark: SparkSession, sf: str) -> DataFrame:
@@ -311,6 +331,13 @@ def q_probe_verdicts(spark: SparkSession, sf: str) -> DataFrame:
                     "errored", "keep")
 
 
+def q_probe_verdicts_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """A6 with probes that fail: a task whose probe failed is kept."""
+    d = Derived(spark, sf)
+    v = CU.probe_verdicts(_probe_scores(d, CU.probe_head(d.tasks()), PROBE_FAILED_SQL))
+    return v.select("task_id", r6("min_score").alias("min_score"), r6("max_score").alias("max_score"), "errored", "keep")
+
+
 def q_curriculum_tasks(spark: SparkSession, sf: str) -> DataFrame:
     d = Derived(spark, sf)
     probed = CU.probe_head(d.tasks())
@@ -341,10 +368,11 @@ def _candidates(d: Derived) -> DataFrame:
         (F.col("n_tests") > 0).alias("has_public"), F.col("frac").alias("public_frac"), "ran_ok")
 
 
-def _hidden_outcomes(d: Derived) -> DataFrame:
-    """Verdict on all hidden tests per rollout; no hidden test -> failed."""
+def _hidden_outcomes(d: Derived, winners: DataFrame) -> DataFrame:
+    """Verdict on all hidden tests, for the ``winners`` (task_id, sample_ix) only; no hidden
+    test -> failed."""
     ok = (F.col("n_tests") > 0) & (F.col("n_passed") == F.col("n_tests"))
-    return _graded(d, hidden=True).select("task_id", "sample_ix", ok.alias("passed"))
+    return _graded(d, hidden=True, only=winners).select("task_id", "sample_ix", ok.alias("passed"))
 
 
 def q_best_of_k(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,15 +400,19 @@ def q_best_attempt(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pass_at_1(spark: SparkSession, sf: str) -> DataFrame:
-    """A7/A11 per setting: single-shot (first sample), best-of-4, agentic."""
+    """A7/A11 per setting: single-shot (first sample), best-of-4, agentic.
+
+    The public tests are graded once for all three selections; hidden tests (J5) only for
+    the rollouts that some selection chose."""
     d = Derived(spark, sf)
-    cands = _candidates(d)
-    hidden = _hidden_outcomes(d)
-    agent = EV.best_attempt(_attempts(d), _has_tests(d), with_iter=True)
+    cands = materialise(_candidates(d), "candidates")
+    attempts = cands.select("task_id", F.col("sample_ix").alias("iter"), "code", F.col("public_frac").alias("score"), "ran_ok")
+    agent = EV.best_attempt(attempts, _has_tests(d), with_iter=True)
     winners = [EV.best_of_k(cands, k=1).select(F.lit("single_shot").alias("setting"), "task_id", "sample_ix"),
                EV.best_of_k(cands, k=4).select(F.lit("best_of_4").alias("setting"), "task_id", "sample_ix"),
                agent.select(F.lit("agentic").alias("setting"), "task_id", F.col("chosen_iter").alias("sample_ix"))]
-    chosen = winners[0].unionByName(winners[1]).unionByName(winners[2])
+    chosen = materialise(winners[0].unionByName(winners[1]).unionByName(winners[2]), "winners")
+    hidden = _hidden_outcomes(d, chosen.select("task_id", "sample_ix").distinct())
     # Every task counts in every setting: one without a winner has failed.
     rates = EV.pass_at_1(EV.graded_tasks(d.tasks(), EV.grade(chosen, hidden), ["single_shot", "best_of_4", "agentic"]))
     table = EV.comparison_table(rates)
@@ -453,6 +485,9 @@ QUERIES = {
     "step_metrics": q_step_metrics,
     "run_report": q_run_report,
     "probe_verdicts": q_probe_verdicts,
+    "probe_verdicts_errors": q_probe_verdicts_errors,
+    "completion_texts": q_completion_texts,
+    "source_messages": q_source_messages,
     "curriculum_tasks": q_curriculum_tasks,
     "curriculum_accounting": q_curriculum_accounting,
     "best_of_k": q_best_of_k,
