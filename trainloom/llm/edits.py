@@ -5,6 +5,9 @@ starts at a space between two non-space characters, where every pre-token of the
 vocabulary's split pattern starts or ends. Inner nodes hold the characters and
 tokens below them. An edit re-encodes the chunks it touches and one more on each
 side (its boundaries may move), then updates the sums on the way to the root.
+
+Trees are kept as a table of leaves. A round of edits reads it, unpacks only the blocks
+that an edit touches, and may write the next table, on which another round can go on.
 """
 
 from __future__ import annotations
@@ -18,14 +21,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from trainloom.llm.common import write_shared
+
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 EDIT_TYPE = "array<struct<start:int,end:int,replacement:string>>"
 # What the default edits take out, and what they put there.
 REDACTIONS = [(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", "<EMAIL>"), (r"\b\d{1,3}(?:\.\d{1,3}){3}\b", "<IP>"), (r"\b\d{12,}\b", "<NUMBER>")]
 
 
+# Longer chunks are encoded each time, so that a table's bytes are bounded with its entries.
+KEPT_CHARS = 64
+
+
 class ChunkCounts(dict):
-    """chunk -> number of tokens, kept for at most ``limit`` chunks per worker."""
+    """chunk -> number of tokens, kept for at most ``limit`` chunks of ``KEPT_CHARS`` per worker."""
 
     def __init__(self, path: str, limit: int = 200_000):
         import public_tokenizers
@@ -38,7 +47,7 @@ class ChunkCounts(dict):
 
     def __missing__(self, chunk: str) -> int:
         n = len(self.encoding.encode_ordinary(chunk))
-        if len(self) < self.limit:
+        if len(self) < self.limit and len(chunk) <= KEPT_CHARS:
             self[chunk] = n
         return n
 
@@ -67,17 +76,36 @@ class SegmentTree:
     blocks of ``fanout`` leaves; blocks change their leaves but not their number.
     """
 
-    def __init__(self, lengths: list[int], tokens: list[int], fanout: int = 64):
-        self.blocks = [(lengths[i:i + fanout], tokens[i:i + fanout]) for i in range(0, max(1, len(lengths)), fanout)]
-        self.width = 1 << (len(self.blocks) - 1).bit_length()
+    def __init__(self, lengths: np.ndarray, tokens: np.ndarray, fanout: int = 64):
+        self.leaves = np.asarray(lengths, np.int64), np.asarray(tokens, np.int64)
+        self.fanout, n = fanout, max(1, -(-len(lengths) // fanout))
+        self.touched: dict[int, tuple[list[int], list[int]]] = {}
+        self.n_blocks, self.width = n, 1 << (n - 1).bit_length()
         self.sums = [(0, 0)] * (2 * self.width)
-        for b in range(len(self.blocks)):
-            self.sums[self.width + b] = self._block_sum(b)
+        if len(lengths):
+            at = np.arange(0, len(lengths), fanout)
+            self.sums[self.width:self.width + n] = zip(*(np.add.reduceat(x, at).tolist() for x in self.leaves))
         for i in range(self.width - 1, 0, -1):
             self.sums[i] = self._join(i)
 
+    def block(self, b: int) -> tuple[list[int], list[int]]:
+        """Lengths and tokens of a block's leaves; unpacked when first asked for."""
+        if b not in self.touched:
+            own = slice(b * self.fanout, (b + 1) * self.fanout)
+            self.touched[b] = tuple(x[own].tolist() for x in self.leaves)
+        return self.touched[b]
+
+    def all_leaves(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and tokens of all leaves as they are now."""
+        parts, at = ([], []), 0
+        for b in sorted(self.touched):
+            for i in (0, 1):
+                parts[i].extend((self.leaves[i][at:b * self.fanout], np.array(self.touched[b][i], np.int64)))
+            at = (b + 1) * self.fanout
+        return tuple(np.concatenate([*parts[i], self.leaves[i][at:]]) for i in (0, 1))
+
     def _block_sum(self, b: int) -> tuple[int, int]:
-        return sum(self.blocks[b][0]), sum(self.blocks[b][1])
+        return sum(self.block(b)[0]), sum(self.block(b)[1])
 
     def _join(self, i: int) -> tuple[int, int]:
         (a, x), (b, y) = self.sums[2 * i], self.sums[2 * i + 1]
@@ -96,7 +124,7 @@ class SegmentTree:
                 at += self.sums[i][0]
                 i += 1
         b = i - self.width
-        lengths = self.blocks[b][0]
+        lengths = self.block(b)[0]
         for leaf, n in enumerate(lengths):
             if position < at + n or leaf == len(lengths) - 1:
                 return b, leaf, at
@@ -106,15 +134,15 @@ class SegmentTree:
     def replace(self, first: tuple[int, int], last: tuple[int, int], lengths: list[int], tokens: list[int]) -> None:
         """Put new leaves in place of those from ``first`` to ``last`` (block, leaf), both included."""
         (b0, l0), (b1, l1) = first, last
-        tail_n, tail_t = self.blocks[b1][0][l1 + 1:], self.blocks[b1][1][l1 + 1:]
-        head_n, head_t = self.blocks[b0][0][:l0], self.blocks[b0][1][:l0]
+        tail_n, tail_t = (x[l1 + 1:] for x in self.block(b1))
+        head_n, head_t = (x[:l0] for x in self.block(b0))
         for b in range(b0, b1 + 1):
-            self.blocks[b] = ([], [])
+            self.touched[b] = ([], [])
         if b0 == b1:
-            self.blocks[b0] = (head_n + lengths + tail_n, head_t + tokens + tail_t)
+            self.touched[b0] = (head_n + lengths + tail_n, head_t + tokens + tail_t)
         else:
-            self.blocks[b0] = (head_n + lengths, head_t + tokens)
-            self.blocks[b1] = (tail_n, tail_t)
+            self.touched[b0] = (head_n + lengths, head_t + tokens)
+            self.touched[b1] = (tail_n, tail_t)
         changed = set()
         for b in range(b0, b1 + 1):
             self.sums[self.width + b] = self._block_sum(b)
@@ -140,10 +168,10 @@ def apply_edits(text: str, tree: SegmentTree, edits: list[tuple[int, int, str]],
         # Context: the leaf before the first touched and the leaf after the last.
         b0, l0, at = tree.find(at - 1) if at else (b0, l0, at)
         b1, l1, last_at = tree.find(max(start, end - 1))
-        stop = last_at + (tree.blocks[b1][0][l1] if tree.blocks[b1][0] else 0)
+        stop = last_at + (tree.block(b1)[0][l1] if tree.block(b1)[0] else 0)
         if stop < len(text):
             b1, l1, last_at = tree.find(stop)
-            stop = last_at + tree.blocks[b1][0][l1]
+            stop = last_at + tree.block(b1)[0][l1]
         region = text[at:start] + replacement + text[end:stop]
         leaves = chunks_of(region)
         tree.replace((b0, l0), (b1, l1), [len(c) for c in leaves], [counts[c] for c in leaves])
@@ -165,7 +193,7 @@ def redactions(text: str | None) -> list[tuple[int, int, str]]:
 def _redact(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("replacement", pa.string())]))
     for batch in texts:
-        edits = [[{"start": s, "end": e, "replacement": r} for s, e, r in redactions(t.as_py())] for t in batch.column(1)]
+        edits = [[{"start": s, "end": e, "replacement": r} for s, e, r in redactions(t.as_py())] for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edits, kind)], [*batch.schema.names, "edits"])
 
 
@@ -175,6 +203,19 @@ def with_redactions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         _redact, f"doc_id long, text string, edits {EDIT_TYPE}")
 
 
+def redacted(trees: DataFrame) -> DataFrame:
+    """Kept trees with the default edits of every document."""
+    return trees.select("doc_id", "text", "leaf_chars", "leaf_tokens").mapInArrow(_redact, f"{TREES}, edits {EDIT_TYPE}")
+
+
+TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>"
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(arrays) if arrays else [], pa.int32()))
+
+
 def _build(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     counts = load(path)
     for batch in batches:
@@ -185,53 +226,72 @@ def _build(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
                 leaves = chunks_of(t.as_py() or "")
                 lengths.append(np.fromiter(map(len, leaves), np.int32, len(leaves)))
                 tokens.append(np.fromiter(map(counts.__getitem__, leaves), np.int32, len(leaves)))
-            offsets = pa.array(np.cumsum([0, *map(len, lengths)]), pa.int32())
-            columns = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x), pa.int32())) for x in (lengths, tokens)]
-            yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, "leaf_chars", "leaf_tokens"])
+            yield pa.RecordBatch.from_arrays([*part.columns, _lists(lengths), _lists(tokens)], [*part.schema.names, "leaf_chars", "leaf_tokens"])
 
 
 def build_trees(df: DataFrame, ranks_path: str) -> DataFrame:
     """Add the leaves of each document's tree (leaf_chars, leaf_tokens) to doc_id, text, edits.
 
-    The table may be written and edited later; sums are made from the leaves.
+    Null text counts as empty and has no leaf; null and repeated ids and repeated rows
+    give one tree each; an empty table gives none; other columns are not read.
     """
     rows = df.select("doc_id", "text", "edits")
     return rows.mapInArrow(partial(_build, path=ranks_path), f"doc_id long, text string, edits {EDIT_TYPE}, leaf_chars array<int>, leaf_tokens array<int>")
 
 
+def keep_trees(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The trees of all documents, written to the shared folder and read back: doc_id, text,
+    leaf_chars, leaf_tokens. The only step that encodes whole texts; rows as in ``build_trees``."""
+    rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
+    return write_shared(rows.mapInArrow(partial(_build, path=ranks_path), TREES), "trees")
+
+
 COUNTS = "doc_id long, n_edits long, tokens_before long, tokens_after long, leaves long, encoded_chars long"
 
 
-def _recount(batches: Iterator[pa.RecordBatch], path: str, full: bool) -> Iterator[pa.RecordBatch]:
+def _recount(batches: Iterator[pa.RecordBatch], path: str, full: bool, trees: bool = False) -> Iterator[pa.RecordBatch]:
     counts = load(path)
     names = [c.split()[0] for c in COUNTS.split(", ")]
     for batch in batches:
-        rows, texts = [], []
         for at in range(0, batch.num_rows, 500):
+            rows, texts, leaves = [], [], ([], [])
             part = batch.slice(at, 500)
             columns = [part.column(n) for n in ("doc_id", "text", "edits", "leaf_chars", "leaf_tokens")]
-            for doc, text, edits, chars, tokens in zip(*columns):
+            for doc, text, edits, *own in zip(*columns):
                 doc, text, edits = doc.as_py(), text.as_py() or "", edits.as_py() or []
-                before = int(tokens.values.to_numpy().sum()) if tokens.values is not None else 0
-                after, encoded = before, 0
+                chars, tokens = (x.values.to_numpy() if x.values is not None else np.empty(0, np.int32) for x in own)
+                after = before = int(tokens.sum())
+                n, encoded = len(chars), 0
                 if edits:
-                    tree = SegmentTree(chars.as_py(), tokens.as_py())
+                    tree = SegmentTree(chars, tokens)
                     text, encoded = apply_edits(text, tree, [(e["start"], e["end"], e["replacement"] or "") for e in edits], counts)
                     after = tree.tokens
-                rows.append((doc, len(edits), before, after, len(chars), encoded))
-                if full:
-                    texts.append(text)
-        arrays = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * len(names)
-        yield pa.RecordBatch.from_arrays([*arrays, *([pa.array(texts, pa.string())] if full else [])], [*names, *(["text"] if full else [])])
+                    if trees:
+                        chars, tokens = tree.all_leaves()
+                rows.append((doc, len(edits), before, after, n, encoded))
+                texts.append(text)
+                leaves[0].append(chars)
+                leaves[1].append(tokens)
+            arrays = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * len(names)
+            if trees:
+                yield pa.RecordBatch.from_arrays([arrays[0], pa.array(texts, pa.string()), *map(_lists, leaves)], ["doc_id", "text", "leaf_chars", "leaf_tokens"])
+            else:
+                yield pa.RecordBatch.from_arrays([*arrays, *([pa.array(texts, pa.string())] if full else [])], [*names, *(["text"] if full else [])])
 
 
 def count_after_edits(trees: DataFrame, ranks_path: str, full: bool = True) -> DataFrame:
     """doc_id, n_edits, tokens_before, tokens_after, leaves, encoded_chars and, with ``full``, the edited text.
 
-    Null text counts as empty (no leaf, no token), null edits as none, a null
-    replacement as a deletion; an edit outside its text raises an error, as its
-    count would be wrong. Null and repeated ids and repeated rows give one row
-    each; an empty table gives none.
+    ``trees`` has doc_id, text, edits and the leaves. Null text counts as empty (no leaf, no
+    token), null edits as none, a null replacement as a deletion; an edit outside its text
+    raises an error, as its count would be wrong. Null and repeated ids and repeated rows
+    give one row each; an empty table gives none.
     """
     return trees.mapInArrow(partial(_recount, path=ranks_path, full=full), COUNTS + (", text string" if full else ""))
 
+
+def edit_trees(trees: DataFrame, ranks_path: str) -> DataFrame:
+    """The trees after their edits (doc_id, text, leaf_chars, leaf_tokens), written to the shared
+    folder: the table that the next round of edits starts from. Only regions that an edit
+    touches are encoded; rows as in ``count_after_edits``."""
+    return write_shared(trees.mapInArrow(partial(_recount, path=ranks_path, full=False, trees=True), TREES), "trees")

@@ -42,6 +42,7 @@ class Directory:
         self.bits, self.capacity, self.depth = bits, capacity, 0
         self.local = [0]
         self.cells = [0]
+        prefixes = [0]  # the leading ``local`` bits of each bucket's cells
         weights = [dict(sizes)]
         open_buckets = [0]
         while open_buckets:
@@ -56,9 +57,11 @@ class Directory:
             self.local.append(self.local[b])
             weights.append({p: n for p, n in weights[b].items() if p >> shift & 1})
             weights[b] = {p: n for p, n in weights[b].items() if not p >> shift & 1}
-            for i, c in enumerate(self.cells):
-                if c == b and i >> (self.depth - self.local[b]) & 1:
-                    self.cells[i] = new
+            # The bucket's cells are one range; its upper half goes to the new bucket.
+            prefixes[b], upper = 2 * prefixes[b], 2 * prefixes[b] + 1
+            prefixes.append(upper)
+            size = 1 << (self.depth - self.local[b])
+            self.cells[upper * size:(upper + 1) * size] = [new] * size
             open_buckets += [b, new]
 
 

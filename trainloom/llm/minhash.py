@@ -283,14 +283,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``df`` with one document of each class: the one with the smallest id."""
+    """``df`` with one document of each class: the one with the smallest id (null ids last).
+
+    Null text counts as empty; texts without words are alike to their exact copies only.
+    Rows repeated in id and text count as one document, and all of them stay. All columns
+    are returned, whatever their names; an empty table gives no row.
+    """
     _, nodes = classes(df, id_col, text_col, **options)
     best = nodes.groupBy("label").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "digest")).alias("best"))
     # Only texts that lose a row are listed: members that are not the best, and texts with copies.
-    listed = (nodes.join(best, "label").where("copies > 1 or digest <> best.digest")
-              .select(F.col("digest").alias("__digest"), F.when(F.col("digest") == F.col("best.digest"), F.col("doc")).alias("__keep"),
-                      (F.col("digest") == F.col("best.digest")).alias("__best")))
+    first = F.col("digest") == F.col("best.digest")
+    listed = nodes.join(best, "label").where("copies > 1 or digest <> best.digest").select(
+        "digest", F.when(first, F.col("doc")).alias("keep"), first.alias("is_best"))
     text = F.coalesce(df[text_col].cast("string"), F.lit("")).cast("binary")
-    joined = df.withColumn("__digest", F.unhex(F.md5(text))).join(listed, "__digest", "left")
-    stays = F.col("__best").isNull() | (F.col("__best") & df[id_col].eqNullSafe(F.col("__keep")))
-    return joined.where(stays).select(*df.columns)
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.unhex(F.md5(text)).alias("digest"))
+    stays = F.col("is_best").isNull() | (F.col("is_best") & F.col("row").getField(id_col).eqNullSafe(F.col("keep")))
+    return rows.join(listed, "digest", "left").where(stays).select(*[F.col("row").getField(c).alias(c) for c in df.columns])

@@ -21,12 +21,16 @@ _CROSSES = regex.compile(f"[^{MARK}]{MARK}")
 _RUNS = regex.compile(r" *[^ ]*")
 
 
+KEPT_CHARS = 64
+
+
 class ChunkTable(dict):
     """chunk without its first mark -> (ids as text, number of ids, decoded text).
 
     Encoding a chunk alone adds that mark again as the dummy prefix, and decoding
     takes it off, so ids concatenate and decoded chunks join by single spaces.
-    At most ``limit`` chunks are kept; others are segmented when they occur.
+    At most ``limit`` chunks of ``KEPT_CHARS`` are kept, which bounds the table's bytes;
+    others are segmented when they occur, once for each group of documents.
     """
 
     def __init__(self, path: str, limit: int = 200_000):
@@ -46,8 +50,9 @@ class ChunkTable(dict):
         ids = [i if c else self._lone(i) for c, i in zip(chunks, ids)]
         texts = self.model.decode(ids, num_threads=1)
         new = {c: (",".join(map(str, i)), len(i), t) for c, i, t in zip(chunks, ids, texts)}
+        short = {c: v for c, v in new.items() if len(c) <= KEPT_CHARS}
         if room := self.limit - len(self):
-            self.update(list(new.items())[:room] if len(new) > room else new)
+            self.update(list(short.items())[:room] if len(short) > room else short)
         return new
 
     def _lone(self, two_marks: list[int]) -> list[int]:

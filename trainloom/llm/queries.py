@@ -48,9 +48,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of all documents before and after personal data is redacted."""
+    """Token counts of all documents before and after personal data is redacted: trees are
+    built and kept, then edited where they are stored."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return edits.count_after_edits(edits.build_trees(edits.with_redactions(documents(spark, sf_dir)), ranks), ranks, full=False)
+    trees = edits.keep_trees(documents(spark, sf_dir), ranks)
+    return edits.count_after_edits(edits.redacted(trees), ranks, full=False)
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +60,12 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards by the map kept for this input below the checkpoint folder; a later run edits it."""
-    kept = f"{ensure_checkpoint_dir(spark).rstrip('/')}/slot-map-of-{xxhash.xxh64_hexdigest(sf_dir)}"
-    return sharding.shard(documents(spark, sf_dir), 40, map_path=kept)
+    """Shards by the map kept for this input, which later applications find and edit.
+
+    It lies in the folder that ``spark.checkpoint.dir`` names, not in the folder that Spark
+    makes there for each application."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or ensure_checkpoint_dir(spark)
+    return sharding.shard(documents(spark, sf_dir), 40, map_path=f"{folder.rstrip('/')}/slot-map-of-{xxhash.xxh64_hexdigest(sf_dir)}")
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 Records hash into ``SLOTS`` virtual slots for good. Only the map from slots to
 shards depends on the data: it is made from the bytes of each slot, stored with
-its version, and edited (never rebuilt) when shards are added.
+its version, and edited (never rebuilt) when sizes or the number of shards change.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from dataclasses import dataclass
 
@@ -18,10 +19,28 @@ from trainloom.llm.common import shared_path, write_shared
 
 SLOTS = 8192
 # Each slot is counted in this many parts, so that no task numbers a whole slot.
-PARTS = 8
+PARTS = 256
 ROW_BYTES = 16
-# A shard may hold this multiple of the mean before an edit moves slots away from it.
-DRIFT = 1.03
+# An edit goes on until no shard holds more than this multiple of the mean, or until neither a
+# move nor a swap of slots between the fullest and the emptiest shard lowers the fuller one.
+DRIFT = 1.002
+
+
+def best_change(full: list[int], empty: list[int], gap: int) -> tuple[int, int | None] | None:
+    """The place in ``full`` of a size to move to ``empty``, and of one to get back (or None), that
+    brings two loads ``gap`` apart closest together; None if nothing does."""
+    other = sorted((size, i) for i, size in enumerate(empty))
+    other = [(0, None), *other]
+    small, best = [size for size, _ in other], None
+    for i, size in enumerate(full):
+        # What moves on balance should be near half the gap.
+        at = bisect.bisect_left(small, size - gap / 2)
+        for j in (at - 1, at):
+            if 0 <= j < len(other) and 0 < size - small[j] < gap:
+                worse = abs(size - small[j] - gap / 2)
+                if best is None or worse < best[0]:
+                    best = worse, i, other[j][1]
+    return best and best[1:]
 
 
 @dataclass(frozen=True)
@@ -71,18 +90,25 @@ class SlotMap:
 
         for slot in sorted(gone, key=lambda v: (-sizes.get(v, 0), v)):
             move(slot, load.index(min(load)))
-        target = sum(load) / n_shards
+        mean = sum(load) / n_shards
         held: list[list[int]] = [[] for _ in range(n_shards)]
-        for slot in sorted(range(len(shards)), key=lambda v: (-sizes.get(v, 0), v)):
-            held[shards[slot]].append(slot)
-        for s in sorted(range(n_shards), key=lambda v: (-load[v], v)):
-            for slot in held[s]:  # largest first
-                if load[s] <= target * DRIFT:
-                    break
-                size, to = sizes.get(slot, 0), load.index(min(load))
-                if size and load[to] + size <= target and load[s] - size >= target * (2 - DRIFT):
-                    load[s] -= size
-                    move(slot, to)
+        for slot, s in enumerate(shards):
+            if sizes.get(slot, 0):
+                held[s].append(slot)
+        for _ in range(4 * len(shards)):
+            full, empty = (f(range(n_shards), key=lambda s: (load[s], -s)) for f in (max, min))
+            if load[full] <= mean * DRIFT:
+                break
+            change = best_change([sizes[v] for v in held[full]], [sizes[v] for v in held[empty]], load[full] - load[empty])
+            if change is None:
+                break
+            out, back = held[full][change[0]], None if change[1] is None else held[empty][change[1]]
+            for slot, a, b in ((out, full, empty), (back, empty, full)):
+                if slot is not None:
+                    held[a].remove(slot)
+                    held[b].append(slot)
+                    load[a] -= sizes[slot]
+                    move(slot, b)
         if n_shards == self.n_shards and tuple(shards) == self.shards:
             return self
         return SlotMap(self.version + 1, n_shards, tuple(shards))
@@ -94,27 +120,34 @@ class SlotMap:
                 .select(F.lit(self.version).alias("version"), "vslot", F.col("shard").cast("int").alias("shard")))
 
     def save(self, spark: SparkSession, path: str | None = None) -> str:
-        """Append this version to the map's table; older versions stay readable."""
+        """Write this version beside the others, as one file in a folder of its own. A version that
+        is there already fails, so of two runs that edit one map the second is told."""
         path = path or shared_path(spark, "slot-map")
-        self.frame(spark).withColumn("n_shards", F.lit(self.n_shards)).coalesce(1).write.mode("append").parquet(path)
+        self.frame(spark).withColumn("n_shards", F.lit(self.n_shards)).coalesce(1).write.mode("errorifexists").parquet(f"{path}/map-{self.version}")
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
-        table = spark.read.parquet(path)
-        version = version or table.agg(F.max("version")).first()[0]
-        rows = table.where(F.col("version") == version).orderBy("vslot").collect()  # SLOTS rows
+        version = version or max(versions(spark, path))
+        rows = spark.read.parquet(f"{path}/map-{version}").orderBy("vslot").collect()  # SLOTS rows
+        if [r["vslot"] for r in rows] != list(range(len(rows))) or {r["version"] for r in rows} != {version}:
+            raise ValueError(f"version {version} of the slot map at {path} is not whole")
         return cls(version, rows[0]["n_shards"], tuple(r["shard"] for r in rows))
 
 
-def map_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where.suffix("/_SUCCESS"))
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions of the map at ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(folder)]
+    return sorted(int(n[4:]) for at, n in names if n.startswith("map-") and fs.exists(at.suffix("/_SUCCESS")))
 
 
 def current_map(spark: SparkSession, path: str, sizes: dict[int, int], n_shards: int) -> SlotMap:
-    """The latest version at ``path`` edited for these sizes; a new version is appended."""
-    old = SlotMap.load(spark, path) if map_exists(spark, path) else None
+    """The latest version at ``path`` edited for these sizes; a new version is added."""
+    old = SlotMap.load(spark, path) if versions(spark, path) else None
     new = old.edited(sizes, n_shards) if old else SlotMap.balanced(sizes, n_shards)
     if new is not old:
         new.save(spark, path)
@@ -127,7 +160,7 @@ def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots
     light = df.select(df[id_col].cast("long").alias("doc_id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
                       F.crc32(text.cast("binary")).alias("text_crc32"))
     light = light.select("*", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(slots)).cast("int").alias("vslot"),
-                         F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).cast("int").alias("part"))
+                         F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int").alias("part"))
     return write_shared(light, "shard-records")
 
 
@@ -144,7 +177,7 @@ def place(rows: DataFrame, slot_map: SlotMap, map_path: str) -> DataFrame:
     row's number in its own part.
     """
     spark = rows.sparkSession
-    mapped = spark.read.parquet(map_path).where(F.col("version") == slot_map.version).select("vslot", "shard", F.col("version").alias("map_version"))
+    mapped = spark.read.parquet(f"{map_path}/map-{slot_map.version}").select("vslot", "shard", F.col("version").alias("map_version"))
     parts = rows.groupBy("vslot", "part").agg(F.count("*").alias("n")).join(F.broadcast(mapped), "vslot")
     before = Window.partitionBy("shard").orderBy("vslot", "part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("vslot", "part", "shard", "map_version", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -164,8 +197,9 @@ def shard(df: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: s
     are not read.
 
     The slot map at ``map_path`` is loaded, edited for the sizes and ``n_shards`` if
-    it no longer fits, and the next version appended; without a path, or a map
-    there, it starts with version 1. One run at a time may edit a map.
+    it no longer fits, and the next version added; without a path, or a map there, it
+    starts with version 1. A path outside of the checkpoint folder of one application
+    keeps the map for later ones. Of two runs that add one version the second fails.
     """
     rows, path = records(df, id_col, text_col), map_path or shared_path(df.sparkSession, "slot-map")
     return place(rows, current_map(df.sparkSession, path, slot_sizes(rows), n_shards), path)

@@ -27,7 +27,6 @@ have equal anchors at equal places, and neighbours mostly share theirs.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,20 +36,70 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from trainloom.llm.common import window_hashes, write_shared
+from trainloom.llm.common import mix64, salted, window_hashes, write_shared
 
 WIDTH, PREFIX, GROUP_ROWS, RUN = 13, 7, 4_000, 8
 # Fixed value: words are runs of anything but these characters.
-_WORD = re.compile("[^\x20\x09-\x0d]+")
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_ODD = np.uint64(0x9DDFEA08EB382D69)
 
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text) if text else []
+def words_of(text: bytes | None) -> list[bytes]:
+    return text.split() if text else []  # bytes are split at those characters alone
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+def hashed_words(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes, first bytes) of the words in UTF-8 bytes of texts that begin at ``begins``.
+
+    A polynomial over the bytes of each word, mixed with its length.
+    """
+    inside = ~_SPACE[raw]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begins = begins[begins < len(raw)]
+    first[begins] = inside[begins]  # a word ends with its text
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.empty(0, np.uint64), starts
+    # Only the bytes of words go on, each with its place in its word.
+    at = np.flatnonzero(inside)
+    begin = np.flatnonzero(first[at])
+    size = np.diff(np.append(begin, len(at)))
+    place = np.arange(len(at), dtype=np.int32) - np.repeat(begin.astype(np.int32), size)
+    powers = np.full(int(size.max()), _ODD, np.uint64)
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    value = (raw[at] + np.uint64(1)) * powers[place]
+    return mix64(np.add.reduceat(value, begin) + size.astype(np.uint64) * salted(3)), starts
+
+
+def hashed_texts(texts: pa.Array, chunk_bytes: int = 1 << 17) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first text, text after the last, word hashes, first byte of each word, first byte of each text) of
+    neighbouring texts (binary) of some ``chunk_bytes`` in all."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data, at = np.frombuffer(texts.buffers()[2] or b"", np.uint8), 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + chunk_bytes, "right")) - 1)
+        begins = offsets[at:end] - offsets[at]
+        h, starts = hashed_words(data[offsets[at]:offsets[end]], begins)
+        yield at, end, h, starts, begins
+        at = end
+
+
+def first_minimum(h: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width``, the distance to its smallest value, the leftmost of equal ones."""
+    value, place, reach = h, np.zeros(len(h), np.int64), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        n = len(value) - step
+        later = value[step:] < value[:n]
+        place = np.where(later, place[step:] + step, place[:n])
+        value = np.where(later, value[step:], value[:n])
+        reach += step
+    return place
 
 
 def anchors(h: np.ndarray, width: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,19 +107,24 @@ def anchors(h: np.ndarray, width: int, prefix: int) -> tuple[np.ndarray, np.ndar
     if len(h) < width:
         empty = np.empty(0, np.int64)
         return empty, empty, np.empty(0, np.uint64)
-    first = sliding_window_view(h, width).argmin(axis=1)
+    first = first_minimum(h, width)
     at = np.arange(len(first)) + first % (width - prefix + 1)
-    distinct = np.unique(at)
+    distinct = _distinct(at)
     return at, distinct, window_hashes(h, prefix)[distinct]
 
 
+def _distinct(rising: np.ndarray) -> np.ndarray:
+    """Values of an array that never falls, once each (anchors move to the right with their windows)."""
+    return rising[np.append(True, rising[1:] != rising[:-1])] if len(rising) else rising
+
+
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, sha = [], []
-        for text in batch.column(2):
-            w = words_of(text.as_py())
+        for text in batch.column(2).to_pylist():
+            w = words_of(text)
             n.append(len(w))
-            sha.append(hashlib.sha256(" ".join(w).encode()).hexdigest())
+            sha.append(hashlib.sha256(b" ".join(w)).hexdigest())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string())],
                                          ["doc_id", "text_key", "n_words", "sha"])
 
@@ -78,123 +132,116 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
     """(prefix hash, text key, places) once per text and prefix."""
     for batch in batches:
-        hashes, keys, places, held = [], [], [], 0
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places).astype(np.int32))],
-                                             ["prefix", "text_key", "places"])
-
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            h, n = np.unique(anchors(word_hashes(words_of(text.as_py())), width, prefix)[2], return_counts=True)
-            if len(h):
-                hashes.append(h)
-                places.append(n)
-                keys.append(np.full(len(h), key, np.int64))
-                held += len(h)
-            if held >= 200_000:
-                yield out()
-                hashes, keys, places, held = [], [], [], 0
-        if held:
-            yield out()
-
-
-def _with_ids(batch: pa.RecordBatch) -> list:
-    """doc_id, text_key, text and the shared prefixes of a batch's texts."""
-    return [batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), *(batch.column(c) for c in ("text", "prefixes", "overfull"))]
+        keys = batch.column(0).to_numpy()
+        for at, end, h, starts, begins in hashed_texts(batch.column(1)):
+            if len(h) < width:
+                continue
+            owner = np.searchsorted(begins, starts, "right") - 1
+            inside = owner[:len(h) - width + 1] == owner[width - 1:]
+            place = _distinct((np.arange(len(inside)) + first_minimum(h, width) % (width - prefix + 1))[inside])
+            hashes, text = window_hashes(h, prefix)[place].view(np.int64), owner[place]
+            order = np.lexsort((hashes, text))
+            hashes, text = hashes[order], text[order]
+            new = np.append(True, (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])) if len(order) else np.empty(0, bool)
+            count = np.diff(np.append(np.flatnonzero(new), len(order))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[new]), pa.array(keys[at:end][text[new]]), pa.array(count)], ["prefix", "text_key", "places"])
 
 
 SUFFIX = "prefix long, doc_id long, text_key long, position int, windows int, around binary"
+WINDOWS = "array<struct<a:bigint,b:bigint>>"
+PLACES = f"array<struct<a:bigint,b:bigint,start:int,n:int,windows:{WINDOWS}>>"
+# A suffix has no run columns (places is null), a run none of the suffix's.
+SHARED = f"{SUFFIX}, a long, b long, n int, places {PLACES}"
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
-    """Suffixes of the texts at their shared anchors in small groups.
+def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """128 hash bits of each range of 64-bit word hashes, as two columns."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[8 * i:8 * j]) for i, j in zip(starts.tolist(), stops.tolist())]), np.int64).reshape(-1, 2)
 
-    One row per anchor: prefix, doc and key of its text, position, the windows it anchors (bit l: the one
-    that starts l words before it) and 32-bit hashes of the words around it.
-    """
-    reach = width - prefix
-    span = 2 * reach + prefix
-    names, held = [c.split()[0] for c in SUFFIX.split(", ")], []
 
-    def out() -> pa.RecordBatch:
-        prefixes, docs, keys, places, bits, near = zip(*held)
-        held.clear()
-        numbers = [np.concatenate(c) for c in (prefixes, docs, keys, places, bits)]
-        offsets = (np.arange(len(numbers[0]) + 1) * (4 * span)).astype(np.int32)
-        around = pa.Array.from_buffers(pa.binary(), len(numbers[0]), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(near))])
-        return pa.RecordBatch.from_arrays([*map(pa.array, numbers), around], names)
+def _list(values: pa.Array, first: np.ndarray, total: int) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(first, total).astype(np.int32)), values)
 
-    for batch in batches:
-        for doc, text_key, text, shared, overfull in zip(*_with_ids(batch)):
-            chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
-            if large.all():
-                continue
-            h = word_hashes(words_of(text.as_py()))
-            at, distinct, hashes = anchors(h, width, prefix)
-            keys = hashes.view(np.int64)
-            own = np.isin(keys, chosen[~large])
-            small = distinct[own]
-            starts = np.flatnonzero(np.isin(at, small))
-            bits = np.zeros(len(small), np.int32)
-            np.bitwise_or.at(bits, np.searchsorted(small, at[starts]), (1 << (at[starts] - starts)).astype(np.int32))
-            edge = np.zeros(reach, np.uint32)
-            short = np.concatenate((edge, (h >> np.uint64(32)).astype(np.uint32), edge))
-            around = np.ascontiguousarray(sliding_window_view(short, span)[small]).tobytes()
-            held.append((keys[own], np.full(len(small), doc, np.int64), np.full(len(small), text_key, np.int64), small.astype(np.int32), bits, around))
-            if len(held) >= 256:
-                yield out()
-        if held:
-            yield out()
 
+def _suffixes_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, keys: np.ndarray, own: np.ndarray, reach: int, span: int) -> tuple:
+    """prefixes, positions, windows (bit l: the one that starts l words before the anchor) and
+    32-bit hashes of the words around, for the anchors where ``own`` holds."""
+    small = distinct[own]
+    starts = np.flatnonzero(np.isin(at, small))
+    bits = np.zeros(len(small), np.int32)
+    np.bitwise_or.at(bits, np.searchsorted(small, at[starts]), (1 << (at[starts] - starts)).astype(np.int32))
+    edge = np.zeros(reach, np.uint32)
+    short = np.concatenate((edge, (h >> np.uint64(32)).astype(np.uint32), edge))
+    around = np.ascontiguousarray(sliding_window_view(short, span)[small]).tobytes()
+    return keys[own], small.astype(np.int32), bits, around
 
-WINDOWS = "array<struct<a:bigint,b:bigint>>"
-PLACES = f"array<struct<a:bigint,b:bigint,start:int,n:int,windows:{WINDOWS}>>"
-RUNS = f"a long, b long, doc_id long, text_key long, start int, n int, places {PLACES}"
 
+def _runs_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, hashes: np.ndarray, hot: np.ndarray, width: int) -> tuple[np.ndarray, list[pa.Array]]:
+    """(run digests, [start, n, places]) of neighbouring anchors among the places ``hot``.
 
-def _digests(h: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """128 hash bits of the words of each range, as two columns."""
+    Each level has 128 hash bits of the words that its windows cover, the first window's
+    start and the number of windows.
+    """
+    # An anchor's windows start one after the other.
+    start, stop = np.searchsorted(at, distinct[hot], "left"), np.searchsorted(at, distinct[hot], "right")
+    ends_run = (hashes[hot] >> np.uint64(7)) % np.uint64(RUN) == 0
+    new = np.ones(len(hot), bool)
+    new[1:] = (np.diff(hot) != 1) | ends_run[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(hot)) - 1
+    size = stop - start
+    total = int(size.sum())
+    begin = np.cumsum(size) - size
+    window = np.arange(total) - np.repeat(begin - start, size)
+    pair = [pa.array(window_hashes(h, width, seed)[window].view(np.int64)) for seed in (1, 2)]
+    windows = _list(pa.StructArray.from_arrays(pair, ["a", "b"]), begin, total)
     raw = h.tobytes()
-    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[8 * i:8 * j]) for i, j in zip(starts.tolist(), stops.tolist())), np.int64).reshape(-1, 2)
+    place, run = _digests(raw, start, stop + width - 1), _digests(raw, start[first], stop[last] + width - 1)
+    columns = [pa.array(place[:, 0]), pa.array(place[:, 1]), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), windows]
+    places = _list(pa.StructArray.from_arrays(columns, ["a", "b", "start", "n", "windows"]), first, len(hot))
+    return run, [pa.array(start[first].astype(np.int32)), pa.array((stop[last] - start[first]).astype(np.int32)), places]
 
 
-def _list(values: pa.Array, first: np.ndarray, total: int) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.append(first, total).astype(np.int32)), values)
+def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Texts with their shared prefixes -> suffixes of small groups and runs of overfull ones."""
+    reach = width - prefix
+    span, held, none = 2 * reach + prefix, [], np.empty(0, np.int64)
 
+    def batch_of(rows: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)) for f in schema], schema=schema)
 
-def _runs(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Iterator[pa.RecordBatch]:
-    """Runs of neighbouring anchors in overfull groups, with their places and windows inside.
+    def suffixes() -> pa.RecordBatch:
+        prefixes, docs, keys, places, bits, near = zip(*held)
+        held.clear()
+        numbers = [pa.array(np.concatenate(c)) for c in (prefixes, docs, keys, places, bits)]
+        n = len(numbers[0])
+        offsets = (np.arange(n + 1) * (4 * span)).astype(np.int32)
+        around = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(near))])
+        return batch_of(n, **dict(zip(("prefix", "doc_id", "text_key", "position", "windows"), numbers)), around=around)
 
-    Each level has 128 hash bits of the words that its windows cover, the first window's
-    start and the number of windows.
-    """
     for batch in batches:
-        for doc, text_key, text, shared, overfull in zip(*_with_ids(batch)):
-            chosen, large = shared.values.to_numpy(), overfull.values.to_numpy(zero_copy_only=False).astype(bool)
-            h = word_hashes(words_of(text.as_py()))
-            at, distinct, hashes = anchors(h, width, prefix)
-            hot = np.flatnonzero(np.isin(hashes.view(np.int64), chosen[large]))
-            if not len(hot):
-                continue
-            # An anchor's windows start one after the other.
-            start, stop = np.searchsorted(at, distinct[hot], "left"), np.searchsorted(at, distinct[hot], "right")
-            ends_run = (hashes[hot] >> np.uint64(7)) % np.uint64(RUN) == 0
-            new = np.ones(len(hot), bool)
-            new[1:] = (np.diff(hot) != 1) | ends_run[:-1]
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(hot)) - 1
-            size = stop - start
-            total = int(size.sum())
-            begin = np.cumsum(size) - size
-            window = np.arange(total) - np.repeat(begin - start, size)
-            pair = [pa.array(window_hashes(h, width, seed)[window].view(np.int64)) for seed in (1, 2)]
-            windows = _list(pa.StructArray.from_arrays(pair, ["a", "b"]), begin, total)
-            place, run = _digests(h, start, stop + width - 1), _digests(h, start[first], stop[last] + width - 1)
-            columns = [pa.array(place[:, 0]), pa.array(place[:, 1]), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), windows]
-            places = _list(pa.StructArray.from_arrays(columns, ["a", "b", "start", "n", "windows"]), first, len(hot))
-            n = (stop[last] - start[first]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(run[:, 0]), pa.array(run[:, 1]), pa.array(np.full(len(first), doc, np.int64)), pa.array(np.full(len(first), text_key, np.int64)),
-                                              pa.array(start[first].astype(np.int32)), pa.array(n), places], ["a", "b", "doc_id", "text_key", "start", "n", "places"])
+        docs, text_keys = (batch.column(c).to_pylist() for c in ("doc_id", "text_key"))
+        for begin, end, every, starts, begins in hashed_texts(batch.column("text")):
+            bounds = np.append(np.searchsorted(starts, begins), len(every)).tolist()
+            for i in range(begin, end):
+                h, doc, text_key = every[bounds[i - begin]:bounds[i - begin + 1]], docs[i], text_keys[i]
+                chosen = batch.column("prefixes")[i].values.to_numpy()
+                large = batch.column("overfull")[i].values.to_numpy(zero_copy_only=False).astype(bool)
+                at, distinct, hashes = anchors(h, width, prefix)
+                keys = hashes.view(np.int64)
+                own = np.isin(keys, chosen[~large])
+                if own.any():
+                    k, position, bits, around = _suffixes_of(h, at, distinct, keys, own, reach, span)
+                    held.append((k, np.full(len(k), doc, np.int64), np.full(len(k), text_key, np.int64), position, bits, around))
+                if len(held) >= 256:
+                    yield suffixes()
+                hot = np.flatnonzero(np.isin(keys, chosen[large])) if large.any() else none
+                if len(hot):
+                    run, (start, n, places) = _runs_of(h, at, distinct, hashes, hot, width)
+                    yield batch_of(len(run), doc_id=pa.array(np.full(len(run), doc, np.int64)), text_key=pa.array(np.full(len(run), text_key, np.int64)),
+                                   position=start, a=pa.array(run[:, 0]), b=pa.array(run[:, 1]), n=n, places=places)
+        if held:
+            yield suffixes()
 
 
 def covered_by_tree(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, around: np.ndarray, width: int, reach: int) -> np.ndarray:
@@ -273,8 +320,8 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, prefix: int, full: bool)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + width, -1)
             stays = np.cumsum(edge[:-1]) == 0
-            kept = " ".join([x for x, s in zip(w, stays.tolist()) if s])
-            rows.append((doc.as_py(), key.as_py(), int(len(w) - stays.sum()), hashlib.sha256(kept.encode()).hexdigest(), kept if full else None))
+            kept = b" ".join([x for x, s in zip(w, stays.tolist()) if s])
+            rows.append((doc.as_py(), key.as_py(), int(len(w) - stays.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if full else None))
         columns = list(zip(*rows)) if rows else [[]] * 5
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "text_key", "n_removed", "kept_sha256", "kept_text"])
@@ -306,7 +353,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     if not 0 < prefix <= width or width - prefix > 30:
         raise ValueError("prefix must be from 1 to width and at most 30 words shorter")
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    source = df.select(df[id_col].cast("long").alias("doc_id"), _text_key(text).alias("text_key"), text.alias("text"))
+    source = df.select(df[id_col].cast("long").alias("doc_id"), _text_key(text).alias("text_key"), text.cast("binary").alias("text"))
     records = write_shared(source.mapInArrow(_records, "doc_id long, text_key long, n_words long, sha string"), "records")
     firsts = records.where("doc_id is not null").groupBy("sha").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.max("n_words").alias("n"))
     starts = source.where("doc_id is not null").select("text_key", "text").mapInArrow(
@@ -319,11 +366,13 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         "doc_id", "text_key", F.col("p.prefix").alias("prefixes"), F.col("p.overfull").alias("overfull"))
     texts = write_shared(source.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "suffix-texts")
 
-    small = (texts.mapInArrow(partial(_suffixes, width=width, prefix=prefix), SUFFIX)
+    fields = T.StructType.fromDDL(SHARED)
+    found = write_shared(texts.mapInArrow(partial(_shared, width=width, prefix=prefix, schema=to_arrow_schema(fields)), fields), "shared")
+    small = (found.where("places is null").select("prefix", "doc_id", "text_key", "position", "windows", "around")
              .repartition("prefix").sortWithinPartitions("prefix")
              .mapInArrow(partial(_trees, width=width, prefix=prefix), "doc_id long, text_key long, position int, covered int"))
-    hot = texts.where(F.exists("overfull", lambda x: x)).mapInArrow(partial(_runs, width=width, prefix=prefix), RUNS)
-    covered, rest = _settle(write_shared(hot, "runs"), "runs")
+    hot = found.where("places is not null").select("a", "b", "doc_id", "text_key", F.col("position").alias("start"), "n", "places")
+    covered, rest = _settle(hot, "runs")
     inner = rest.select("doc_id", "text_key", F.explode("places").alias("p")).select("p.a", "p.b", "doc_id", "text_key", "p.start", "p.n", "p.windows")
     covered_places, rest = _settle(inner, "places")
     inner = rest.select("doc_id", "text_key", "start", F.posexplode("windows").alias("i", "w")).select("w.a", "w.b", "doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))

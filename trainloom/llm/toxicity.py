@@ -220,6 +220,11 @@ def _clean(batches: Iterator[pa.RecordBatch], shared, text_at: int) -> Iterator[
 
 
 def drop_toxic(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``df`` without the rows that score ``THRESHOLD`` or more."""
+    """``df`` without the rows that score ``THRESHOLD`` or more.
+
+    Null text counts as empty. Ids are not looked at, so null and repeated ones and repeated
+    rows are judged one by one; all columns are returned, whatever their names; an empty
+    table gives no row.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
     return df.mapInArrow(partial(_clean, shared=shared, text_at=df.columns.index(text_col)), df.schema)

@@ -22,13 +22,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+KEPT_CHARS = 64
+
+
 class ChunkIds(dict):
     """white-space-delimited chunk -> its ids as little-endian uint32 bytes.
 
     The normaliser (composition, white space, lower case) and the split pattern
     never look across white space, so a text's ids are those of its chunks in
     order. Frequent chunks are encoded once per worker; both tables hold at most
-    ``limit`` entries, later chunks are encoded each time.
+    ``limit`` entries of ``KEPT_CHARS`` characters, which bounds their bytes; other
+    chunks are encoded each time.
     """
 
     def __init__(self, path: str, limit: int = 200_000):
@@ -42,7 +46,7 @@ class ChunkIds(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self._chunk(chunk)
-        if len(self) < self.limit:
+        if len(self) < self.limit and len(chunk) <= KEPT_CHARS:
             self[chunk] = ids
         return ids
 
@@ -59,7 +63,7 @@ class ChunkIds(dict):
         if ids is None:
             shown = "".join(map(self.letters.__getitem__, piece.encode()))
             ids = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-            if len(self.pieces) < self.limit:
+            if len(self.pieces) < self.limit and len(piece) <= KEPT_CHARS:
                 self.pieces[piece] = ids
         return ids
 
