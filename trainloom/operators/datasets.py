@@ -15,7 +15,7 @@ from trainloom.functions.tokens import token_length
 from trainloom.operators.accounting import StageCounts
 from trainloom.operators.conversations import to_messages
 from trainloom.operators.filters import domain_filter
-from trainloom.operators.sampling import seeded_cap
+from trainloom.operators.sampling import chosen_rows, seeded_cap
 
 
 def _opt(df: DataFrame, name: str) -> Column:
@@ -59,7 +59,7 @@ def reasoning_sft(df: DataFrame, key: str = "id", params: JobParams | None = Non
     The source is never pre-sliced (a prefix could fall inside one domain)."""
     p = params or JobParams()
     df = domain_filter(df, p.reasoning_domain)
-    df = seeded_cap(df, key, n if n is not None else p.reasoning_max_samples, p.seed)
+    df = chosen_rows(df, key, n if n is not None else p.reasoning_max_samples, p.seed)
     return df.select(key, source_messages(df).alias("messages"))
 
 
@@ -82,7 +82,7 @@ def rl_prompts(df: DataFrame, key: str = "task_id", params: JobParams | None = N
                n: int | None = None) -> DataFrame:
     """M5 (+M6): seeded cap, then prompt/tests/public_tests/setup per task."""
     p = params or JobParams()
-    df = seeded_cap(df, key, n if n is not None else p.grpo_max_samples, p.seed)
+    df = chosen_rows(df, key, n if n is not None else p.grpo_max_samples, p.seed)
     problem = T.first_nonempty(_opt(df, "text"), _opt(df, "prompt"))
     public, hidden = split_tests("test_list")
     user = F.concat(T.strip_py(problem), F.lit(C.PUBLIC_EXAMPLE_HEADER), F.array_join(public, "\n"))
@@ -105,9 +105,11 @@ def repair_sft(df: DataFrame, key: str = "task_id", params: JobParams | None = N
                      T.strip_py(T.first_nonempty(_opt(df, "text"), _opt(df, "prompt"))).alias("problem"))
     cand = cand.filter((F.col("gold") != "") & (F.size("tests") > 0))
     # Rows without a matching rule are skipped (this is the empty-message
-    # filter F2: a skipped row has no trajectory). The splice runs after the cap.
-    cand = cand.select(key, "gold", "tests", "problem", F.explode(mutation_choices("gold", key, p.seed)).alias("ch"))
-    capped = seeded_cap(cand, key, n if n is not None else p.repair_max_samples, p.seed)
+    # filter F2: a skipped row has no trajectory). The cap comes after that filter, on
+    # keys; the choice is made again, and spliced, for the rows that stay.
+    mutable = cand.select(key, F.explode(mutation_choices("gold", key, p.seed)))
+    capped = chosen_rows(cand, key, n if n is not None else p.repair_max_samples, p.seed, among=mutable)
+    capped = capped.select(key, "gold", "tests", "problem", F.explode(mutation_choices("gold", key, p.seed)).alias("ch"))
     capped = capped.select(key, "gold", "tests", "problem", F.col("ch.rule").alias("rule"),
                            apply_mutation("gold", "ch.rule", "ch.k").alias("mutated_code"))
     public = F.try_element_at("tests", F.lit(1))

@@ -21,6 +21,23 @@ def seeded_cap(df: DataFrame, key: str, n: int | None, seed: int = C.SHUFFLE_SEE
     return df.orderBy(seeded_order_key(seed, key), F.col(key)).limit(int(n))
 
 
+BROADCAST_KEYS = 1_000_000
+
+
+def chosen_rows(df: DataFrame, key: str, n: int | None, seed: int = C.SHUFFLE_SEED, among: DataFrame | None = None) -> DataFrame:
+    """The rows of ``df`` whose unique ``key`` is among the first ``n`` in the seeded order (of the
+    keys of ``among``, if given); all rows without a cap.
+
+    The top-n runs on the keys alone, ``n`` per task, and wide rows meet only the chosen keys,
+    which are broadcast while ``n`` bounds them to ``BROADCAST_KEYS``.
+    """
+    if not n:
+        return df
+    keys = seeded_cap((df if among is None else among).select(F.col(key).alias("_chosen_key")), "_chosen_key", n, seed)
+    keys = F.broadcast(keys) if n <= BROADCAST_KEYS else keys
+    return df.join(keys, df[key].eqNullSafe(keys["_chosen_key"]), "left_semi")
+
+
 def head(df: DataFrame, key: str, n: int) -> DataFrame:
     """L3: the first ``min(n, rows)`` rows by key."""
     return df.orderBy(F.col(key)).limit(int(n))
