@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     The prior is the share of toxic rows among all training labels. At most about
     ``max_positive`` toxic and ``max_unlabelled`` other documents (any, whatever
     their label) are gathered, chosen by a hash of the id, as sets of hashed features.
-    Without a toxic label every text scores the same low value.
+    Without a toxic label, or the text of one, every text scores the same low value.
     """
     clean = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), (F.col(label_col) == 1).alias("toxic")).groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -169,8 +169,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = sorted(set(zip(table["positive"].to_pylist(), table["features"].to_pylist())))
     del table
     pos, unl = ([np.frombuffer(f, np.uint64) for p, f in rows if p == kind] for kind in (True, False))
-    if not pos or not unl:
-        return Model({}, [float(np.log(prior / (1 - prior)))])
+    if not pos or not unl:  # no toxic text to learn from: nothing can be told apart
+        level = 0.01 / (total["n"] + 1.0)
+        return Model({}, [float(np.log(level / (1 - level)))])
     names = vocabulary(pos, unl, least, z, most)
 
     def matrix(sets: list[np.ndarray]) -> np.ndarray:
