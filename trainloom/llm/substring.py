@@ -150,8 +150,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Ite
 SUFFIX = "prefix long, doc_id long, text_key long, position int, windows int, around binary"
 WINDOWS = "array<struct<a:bigint,b:bigint>>"
 PLACES = f"array<struct<a:bigint,b:bigint,start:int,n:int,windows:{WINDOWS}>>"
-# A suffix has no run columns (places is null), a run none of the suffix's.
-SHARED = f"{SUFFIX}, a long, b long, n int, places {PLACES}"
+RUNS = f"a long, b long, doc_id long, text_key long, start int, n int, places {PLACES}"
 
 
 def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -202,14 +201,11 @@ def _runs_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, hashes: np.nda
     return run, [pa.array(start[first].astype(np.int32)), pa.array((stop[last] - start[first]).astype(np.int32)), places]
 
 
-def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Texts with their shared prefixes -> suffixes of small groups and runs of overfull ones."""
+def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema: pa.Schema, runs: bool) -> Iterator[pa.RecordBatch]:
+    """Texts with their shared prefixes -> suffixes of small groups, or ``runs`` of overfull ones."""
     reach = width - prefix
     span, held, none = 2 * reach + prefix, [], np.empty(0, np.int64)
 
-    def batch_of(rows: int, **columns: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(rows, f.type)) for f in schema], schema=schema)
-
     def suffixes() -> pa.RecordBatch:
         prefixes, docs, keys, places, bits, near = zip(*held)
         held.clear()
@@ -217,7 +213,7 @@ def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema:
         n = len(numbers[0])
         offsets = (np.arange(n + 1) * (4 * span)).astype(np.int32)
         around = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(near))])
-        return batch_of(n, **dict(zip(("prefix", "doc_id", "text_key", "position", "windows"), numbers)), around=around)
+        return pa.RecordBatch.from_arrays([*numbers, around], schema=schema)
 
     for batch in batches:
         docs, text_keys = (batch.column(c).to_pylist() for c in ("doc_id", "text_key"))
@@ -229,17 +225,17 @@ def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema:
                 large = batch.column("overfull")[i].values.to_numpy(zero_copy_only=False).astype(bool)
                 at, distinct, hashes = anchors(h, width, prefix)
                 keys = hashes.view(np.int64)
-                own = np.isin(keys, chosen[~large])
+                own = none if runs else np.isin(keys, chosen[~large])
                 if own.any():
                     k, position, bits, around = _suffixes_of(h, at, distinct, keys, own, reach, span)
                     held.append((k, np.full(len(k), doc, np.int64), np.full(len(k), text_key, np.int64), position, bits, around))
                 if len(held) >= 256:
                     yield suffixes()
-                hot = np.flatnonzero(np.isin(keys, chosen[large])) if large.any() else none
+                hot = np.flatnonzero(np.isin(keys, chosen[large])) if runs else none
                 if len(hot):
                     run, (start, n, places) = _runs_of(h, at, distinct, hashes, hot, width)
-                    yield batch_of(len(run), doc_id=pa.array(np.full(len(run), doc, np.int64)), text_key=pa.array(np.full(len(run), text_key, np.int64)),
-                                   position=start, a=pa.array(run[:, 0]), b=pa.array(run[:, 1]), n=n, places=places)
+                    ids = [pa.array(np.full(len(run), x, np.int64)) for x in (doc, text_key)]
+                    yield pa.RecordBatch.from_arrays([pa.array(run[:, 0]), pa.array(run[:, 1]), *ids, start, n, places], schema=schema)
         if held:
             yield suffixes()
 
@@ -366,12 +362,15 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
         "doc_id", "text_key", F.col("p.prefix").alias("prefixes"), F.col("p.overfull").alias("overfull"))
     texts = write_shared(source.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]), "suffix-texts")
 
-    fields = T.StructType.fromDDL(SHARED)
-    found = write_shared(texts.mapInArrow(partial(_shared, width=width, prefix=prefix, schema=to_arrow_schema(fields)), fields), "shared")
-    small = (found.where("places is null").select("prefix", "doc_id", "text_key", "position", "windows", "around")
+    def shared_of(rows: DataFrame, ddl: str, runs: bool) -> DataFrame:
+        fields = T.StructType.fromDDL(ddl)
+        return rows.mapInArrow(partial(_shared, width=width, prefix=prefix, schema=to_arrow_schema(fields), runs=runs), fields)
+
+    # Two passes over the texts cost less disk than a table of both.
+    small = (shared_of(texts.where(F.exists("overfull", lambda x: ~x)), SUFFIX, False)
              .repartition("prefix").sortWithinPartitions("prefix")
              .mapInArrow(partial(_trees, width=width, prefix=prefix), "doc_id long, text_key long, position int, covered int"))
-    hot = found.where("places is not null").select("a", "b", "doc_id", "text_key", F.col("position").alias("start"), "n", "places")
+    hot = write_shared(shared_of(texts.where(F.exists("overfull", lambda x: x)), RUNS, True), "runs")
     covered, rest = _settle(hot, "runs")
     inner = rest.select("doc_id", "text_key", F.explode("places").alias("p")).select("p.a", "p.b", "doc_id", "text_key", "p.start", "p.n", "p.windows")
     covered_places, rest = _settle(inner, "places")
