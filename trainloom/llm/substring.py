@@ -328,8 +328,10 @@ def _text_key(text: Column) -> Column:
 
 
 def _smallest(rows: DataFrame) -> DataFrame:
-    """The smallest document of each key that several documents have."""
-    return rows.groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    """The smallest document of each key that several documents have; a table of its own, so that
+    a join with it may split the rows of a frequent key."""
+    low = rows.groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
+    return write_shared(low, "smallest")
 
 
 def _settle(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -374,7 +376,8 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     covered, rest = _settle(hot, "runs")
     inner = rest.select("doc_id", "text_key", F.explode("places").alias("p")).select("p.a", "p.b", "doc_id", "text_key", "p.start", "p.n", "p.windows")
     covered_places, rest = _settle(inner, "places")
-    inner = rest.select("doc_id", "text_key", "start", F.posexplode("windows").alias("i", "w")).select("w.a", "w.b", "doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
+    inner = rest.select("doc_id", "text_key", "start", F.posexplode("windows").alias("i", "w")).select(
+        "w.a", "w.b", "doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
     covered_windows = inner.join(_smallest(inner), ["a", "b"]).where("doc_id > low")
     long = [c.select("doc_id", "text_key", F.col("start").alias("position"), F.lit(0).alias("covered"), "n") for c in (covered, covered_places, covered_windows)]
     marks = small.withColumn("n", F.lit(0)).unionByName(long[0]).unionByName(long[1]).unionByName(long[2])
