@@ -108,8 +108,8 @@ def test_tree_unpacks_only_touched_blocks():
     assert (64 * b + leaf, at) == (5_000, 25_000)
     tree.replace((b, leaf), (b, leaf), [3, 4], [10, 20])
     assert len(tree.touched) == 1 and tree.tokens == tokens.sum() - tokens[5_000] + 30
-    n, t = tree.all_leaves()
-    assert n.tolist() == [5] * 5_000 + [3, 4] + [5] * 4_999 and t.sum() == tree.tokens
+    t = tree.leaf_tokens()
+    assert t.tolist() == [*tokens[:5_000], 10, 20, *tokens[5_001:]] and t.sum() == tree.tokens and tree.sums[1][0] == 50_002
     assert edits.SegmentTree(np.empty(0), np.empty(0)).tokens == 0
 
 

@@ -69,6 +69,13 @@ def chunks_of(text: str) -> list[str]:
     return [first, *[" " + r for r in rest]]
 
 
+FANOUT = 64
+
+
+def block_sums(leaves: np.ndarray, fanout: int = FANOUT) -> np.ndarray:
+    return np.add.reduceat(leaves, np.arange(0, len(leaves), fanout)) if len(leaves) else np.asarray(leaves)
+
+
 class SegmentTree:
     """Characters and tokens of a document by blocks of leaves.
 
@@ -77,32 +84,42 @@ class SegmentTree:
     """
 
     def __init__(self, lengths: np.ndarray, tokens: np.ndarray, fanout: int = 64):
-        self.leaves = np.asarray(lengths, np.int64), np.asarray(tokens, np.int64)
-        self.fanout, n = fanout, max(1, -(-len(lengths) // fanout))
+        lengths = np.asarray(lengths, np.int64)
+        self._start(block_sums(lengths, fanout), tokens, fanout, lambda b: lengths[b * fanout:(b + 1) * fanout].tolist())
+
+    @classmethod
+    def stored(cls, text: str, block_chars: np.ndarray, tokens: np.ndarray) -> SegmentTree:
+        """The tree of a kept row. The lengths of a block's leaves are read off its part of the text."""
+        ends = np.cumsum(block_chars).tolist()
+        tree = cls.__new__(cls)
+        tree._start(block_chars, tokens, FANOUT, lambda b: [len(c) for c in chunks_of(text[ends[b] - int(block_chars[b]):ends[b]])])
+        return tree
+
+    def _start(self, block_chars: np.ndarray, tokens: np.ndarray, fanout: int, lengths_of) -> None:
+        self.tokens_of, self.fanout, self.lengths_of = np.asarray(tokens, np.int64), fanout, lengths_of
         self.touched: dict[int, tuple[list[int], list[int]]] = {}
-        self.n_blocks, self.width = n, 1 << (n - 1).bit_length()
+        n = max(1, len(block_chars))
+        self.width = 1 << (n - 1).bit_length()
         self.sums = [(0, 0)] * (2 * self.width)
-        if len(lengths):
-            at = np.arange(0, len(lengths), fanout)
-            self.sums[self.width:self.width + n] = zip(*(np.add.reduceat(x, at).tolist() for x in self.leaves))
+        if len(block_chars):
+            self.sums[self.width:self.width + n] = zip(block_chars.tolist(), block_sums(self.tokens_of, fanout).tolist())
         for i in range(self.width - 1, 0, -1):
             self.sums[i] = self._join(i)
 
     def block(self, b: int) -> tuple[list[int], list[int]]:
         """Lengths and tokens of a block's leaves; unpacked when first asked for."""
         if b not in self.touched:
-            own = slice(b * self.fanout, (b + 1) * self.fanout)
-            self.touched[b] = tuple(x[own].tolist() for x in self.leaves)
+            tokens = self.tokens_of[b * self.fanout:(b + 1) * self.fanout].tolist()
+            self.touched[b] = (self.lengths_of(b) if tokens else [], tokens)
         return self.touched[b]
 
-    def all_leaves(self) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and tokens of all leaves as they are now."""
-        parts, at = ([], []), 0
+    def leaf_tokens(self) -> np.ndarray:
+        """Tokens of all leaves as they are now."""
+        parts, at = [], 0
         for b in sorted(self.touched):
-            for i in (0, 1):
-                parts[i].extend((self.leaves[i][at:b * self.fanout], np.array(self.touched[b][i], np.int64)))
+            parts += [self.tokens_of[at:b * self.fanout], np.array(self.touched[b][1], np.int64)]
             at = (b + 1) * self.fanout
-        return tuple(np.concatenate([*parts[i], self.leaves[i][at:]]) for i in (0, 1))
+        return np.concatenate([*parts, self.tokens_of[at:]])
 
     def _block_sum(self, b: int) -> tuple[int, int]:
         return sum(self.block(b)[0]), sum(self.block(b)[1])
@@ -205,10 +222,11 @@ def with_redactions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def redacted(trees: DataFrame) -> DataFrame:
     """Kept trees with the default edits of every document."""
-    return trees.select("doc_id", "text", "leaf_chars", "leaf_tokens").mapInArrow(_redact, f"{TREES}, edits {EDIT_TYPE}")
+    return trees.select("doc_id", "text", "block_chars", "leaf_tokens").mapInArrow(_redact, f"{TREES}, edits {EDIT_TYPE}")
 
 
-TREES = "doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>"
+# Characters by block of leaves and tokens by leaf; the text itself has the leaves' lengths.
+TREES = "doc_id long, text string, block_chars array<int>, leaf_tokens array<int>"
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -224,24 +242,24 @@ def _build(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
             lengths, tokens = [], []
             for t in part.column(part.schema.get_field_index("text")):
                 leaves = chunks_of(t.as_py() or "")
-                lengths.append(np.fromiter(map(len, leaves), np.int32, len(leaves)))
+                lengths.append(block_sums(np.fromiter(map(len, leaves), np.int32, len(leaves))))
                 tokens.append(np.fromiter(map(counts.__getitem__, leaves), np.int32, len(leaves)))
-            yield pa.RecordBatch.from_arrays([*part.columns, _lists(lengths), _lists(tokens)], [*part.schema.names, "leaf_chars", "leaf_tokens"])
+            yield pa.RecordBatch.from_arrays([*part.columns, _lists(lengths), _lists(tokens)], [*part.schema.names, "block_chars", "leaf_tokens"])
 
 
 def build_trees(df: DataFrame, ranks_path: str) -> DataFrame:
-    """Add the leaves of each document's tree (leaf_chars, leaf_tokens) to doc_id, text, edits.
+    """Add each document's tree (block_chars, leaf_tokens) to doc_id, text, edits.
 
     Null text counts as empty and has no leaf; null and repeated ids and repeated rows
     give one tree each; an empty table gives none; other columns are not read.
     """
     rows = df.select("doc_id", "text", "edits")
-    return rows.mapInArrow(partial(_build, path=ranks_path), f"doc_id long, text string, edits {EDIT_TYPE}, leaf_chars array<int>, leaf_tokens array<int>")
+    return rows.mapInArrow(partial(_build, path=ranks_path), f"doc_id long, text string, edits {EDIT_TYPE}, block_chars array<int>, leaf_tokens array<int>")
 
 
 def keep_trees(df: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The trees of all documents, written to the shared folder and read back: doc_id, text,
-    leaf_chars, leaf_tokens. The only step that encodes whole texts; rows as in ``build_trees``."""
+    block_chars, leaf_tokens. The only step that encodes whole texts; rows as in ``build_trees``."""
     rows = df.select(df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
     return write_shared(rows.mapInArrow(partial(_build, path=ranks_path), TREES), "trees")
 
@@ -254,27 +272,29 @@ def _recount(batches: Iterator[pa.RecordBatch], path: str, full: bool, trees: bo
     names = [c.split()[0] for c in COUNTS.split(", ")]
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
-            rows, texts, leaves = [], [], ([], [])
+            rows, texts, kept = [], [], ([], [])
             part = batch.slice(at, 500)
-            columns = [part.column(n) for n in ("doc_id", "text", "edits", "leaf_chars", "leaf_tokens")]
+            columns = [part.column(n) for n in ("doc_id", "text", "edits", "block_chars", "leaf_tokens")]
             for doc, text, edits, *own in zip(*columns):
                 doc, text, edits = doc.as_py(), text.as_py() or "", edits.as_py() or []
                 chars, tokens = (x.values.to_numpy() if x.values is not None else np.empty(0, np.int32) for x in own)
                 after = before = int(tokens.sum())
-                n, encoded = len(chars), 0
+                n, encoded = len(tokens), 0
                 if edits:
-                    tree = SegmentTree(chars, tokens)
+                    tree = SegmentTree.stored(text, chars, tokens)
                     text, encoded = apply_edits(text, tree, [(e["start"], e["end"], e["replacement"] or "") for e in edits], counts)
                     after = tree.tokens
-                    if trees:
-                        chars, tokens = tree.all_leaves()
+                    if trees:  # leaves are dealt into even blocks again
+                        tokens = tree.leaf_tokens()
+                        chars = block_sums(np.array([len(c) for c in chunks_of(text)], np.int64))
+                        assert len(chars) == -(-len(tokens) // FANOUT)
                 rows.append((doc, len(edits), before, after, n, encoded))
                 texts.append(text)
-                leaves[0].append(chars)
-                leaves[1].append(tokens)
+                kept[0].append(chars)
+                kept[1].append(tokens)
             arrays = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * len(names)
             if trees:
-                yield pa.RecordBatch.from_arrays([arrays[0], pa.array(texts, pa.string()), *map(_lists, leaves)], ["doc_id", "text", "leaf_chars", "leaf_tokens"])
+                yield pa.RecordBatch.from_arrays([arrays[0], pa.array(texts, pa.string()), *map(_lists, kept)], ["doc_id", "text", "block_chars", "leaf_tokens"])
             else:
                 yield pa.RecordBatch.from_arrays([*arrays, *([pa.array(texts, pa.string())] if full else [])], [*names, *(["text"] if full else [])])
 
@@ -291,7 +311,7 @@ def count_after_edits(trees: DataFrame, ranks_path: str, full: bool = True) -> D
 
 
 def edit_trees(trees: DataFrame, ranks_path: str) -> DataFrame:
-    """The trees after their edits (doc_id, text, leaf_chars, leaf_tokens), written to the shared
+    """The trees after their edits (doc_id, text, block_chars, leaf_tokens), written to the shared
     folder: the table that the next round of edits starts from. Only regions that an edit
     touches are encoded; rows as in ``count_after_edits``."""
     return write_shared(trees.mapInArrow(partial(_recount, path=ranks_path, full=False, trees=True), TREES), "trees")
