@@ -149,13 +149,18 @@ def _prefixes(batches: Iterator[pa.RecordBatch], width: int, prefix: int) -> Ite
 
 SUFFIX = "prefix long, doc_id long, text_key long, position int, windows int, around binary"
 WINDOWS = "array<struct<a:bigint,b:bigint>>"
-PLACES = f"array<struct<a:bigint,b:bigint,start:int,n:int,windows:{WINDOWS}>>"
-RUNS = f"a long, b long, doc_id long, text_key long, start int, n int, places {PLACES}"
+PLACES = f"array<struct<a:bigint,b:bigint,off:int,n:int,windows:{WINDOWS}>>"
+RUNS = f"a long, b long, doc_id long, text_key long, starts array<int>, n int, places {PLACES}"
 
 
-def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """128 hash bits of each range of 64-bit word hashes, as two columns."""
-    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(raw[8 * i:8 * j]) for i, j in zip(starts.tolist(), stops.tolist())]), np.int64).reshape(-1, 2)
+def _digests(raw: bytes, starts: np.ndarray, stops: np.ndarray) -> list[bytes]:
+    """128 hash bits of each range of 64-bit word hashes."""
+    return [xxhash.xxh3_128_digest(raw[8 * i:8 * j]) for i, j in zip(starts.tolist(), stops.tolist())]
+
+
+def _halves(digests: list[bytes]) -> list[pa.Array]:
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return [pa.array(both[:, 0]), pa.array(both[:, 1])]
 
 
 def _list(values: pa.Array, first: np.ndarray, total: int) -> pa.ListArray:
@@ -175,11 +180,12 @@ def _suffixes_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, keys: np.n
     return keys[own], small.astype(np.int32), bits, around
 
 
-def _runs_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, hashes: np.ndarray, hot: np.ndarray, width: int) -> tuple[np.ndarray, list[pa.Array]]:
-    """(run digests, [start, n, places]) of neighbouring anchors among the places ``hot``.
+def _runs_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, hashes: np.ndarray, hot: np.ndarray, width: int) -> list[pa.Array]:
+    """Columns a, b, starts, n, places of the distinct runs of neighbouring anchors among the places ``hot``.
 
-    Each level has 128 hash bits of the words that its windows cover, the first window's
-    start and the number of windows.
+    Each level has 128 hash bits of the words that its windows cover and the number of
+    windows. A run that a text repeats is one row with the starts of all; places and
+    windows are told by their distance from the run's start.
     """
     # An anchor's windows start one after the other.
     start, stop = np.searchsorted(at, distinct[hot], "left"), np.searchsorted(at, distinct[hot], "right")
@@ -188,17 +194,28 @@ def _runs_of(h: np.ndarray, at: np.ndarray, distinct: np.ndarray, hashes: np.nda
     new[1:] = (np.diff(hot) != 1) | ends_run[:-1]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(hot)) - 1
-    size = stop - start
+    raw = h.tobytes()
+    found: dict[bytes, list[int]] = {}
+    for i, digest in enumerate(_digests(raw, start[first], stop[last] + width - 1)):
+        found.setdefault(digest, []).append(i)
+    own = np.array([runs[0] for runs in found.values()])
+    starts = [start[first[runs]] for runs in found.values()]
+    # From here on one run of each kind counts.
+    anchors_in = last[own] - first[own] + 1
+    begin_run = np.cumsum(anchors_in) - anchors_in
+    pick = np.arange(anchors_in.sum()) - np.repeat(begin_run - first[own], anchors_in)
+    size = stop[pick] - start[pick]
     total = int(size.sum())
     begin = np.cumsum(size) - size
-    window = np.arange(total) - np.repeat(begin - start, size)
+    window = np.arange(total) - np.repeat(begin - start[pick], size)
     pair = [pa.array(window_hashes(h, width, seed)[window].view(np.int64)) for seed in (1, 2)]
     windows = _list(pa.StructArray.from_arrays(pair, ["a", "b"]), begin, total)
-    raw = h.tobytes()
-    place, run = _digests(raw, start, stop + width - 1), _digests(raw, start[first], stop[last] + width - 1)
-    columns = [pa.array(place[:, 0]), pa.array(place[:, 1]), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), windows]
-    places = _list(pa.StructArray.from_arrays(columns, ["a", "b", "start", "n", "windows"]), first, len(hot))
-    return run, [pa.array(start[first].astype(np.int32)), pa.array((stop[last] - start[first]).astype(np.int32)), places]
+    off = start[pick] - np.repeat(start[first[own]], anchors_in)
+    columns = [*_halves(_digests(raw, start[pick], stop[pick] + width - 1)), pa.array(off.astype(np.int32)), pa.array(size.astype(np.int32)), windows]
+    places = _list(pa.StructArray.from_arrays(columns, ["a", "b", "off", "n", "windows"]), begin_run, len(pick))
+    many = np.cumsum([0, *map(len, starts)])
+    return [*_halves(list(found)), _list(pa.array(np.concatenate(starts).astype(np.int32)), many[:-1], int(many[-1])),
+            pa.array((stop[last] - start[first])[own].astype(np.int32)), places]
 
 
 def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema: pa.Schema, runs: bool) -> Iterator[pa.RecordBatch]:
@@ -233,9 +250,9 @@ def _shared(batches: Iterator[pa.RecordBatch], width: int, prefix: int, schema:
                     yield suffixes()
                 hot = np.flatnonzero(np.isin(keys, chosen[large])) if runs else none
                 if len(hot):
-                    run, (start, n, places) = _runs_of(h, at, distinct, hashes, hot, width)
-                    ids = [pa.array(np.full(len(run), x, np.int64)) for x in (doc, text_key)]
-                    yield pa.RecordBatch.from_arrays([pa.array(run[:, 0]), pa.array(run[:, 1]), *ids, start, n, places], schema=schema)
+                    a, b, *rest = _runs_of(h, at, distinct, hashes, hot, width)
+                    ids = [pa.array(np.full(len(a), x, np.int64)) for x in (doc, text_key)]
+                    yield pa.RecordBatch.from_arrays([a, b, *ids, *rest], schema=schema)
         if held:
             yield suffixes()
 
@@ -306,9 +323,10 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int, prefix: int, full: bool)
         for doc, key, text, marks in zip(*[batch.column(n) for n in ("doc_id", "text_key", "text", "marks")]):
             w = words_of(text.as_py())
             edge = np.zeros(len(w) + 1, np.int64)
-            at = np.array(marks.values.field("position").to_numpy(zero_copy_only=False), np.int64)
-            bits = np.array(marks.values.field("covered").to_numpy(zero_copy_only=False), np.int64)
-            runs = np.array(marks.values.field("n").to_numpy(zero_copy_only=False), np.int64)
+            positions = marks.values.field("positions")
+            many = positions.value_lengths().to_numpy(zero_copy_only=False)
+            at = positions.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            bits, runs = (np.repeat(marks.values.field(c).to_numpy(zero_copy_only=False).astype(np.int64), many) for c in ("covered", "n"))
             np.add.at(edge, at[runs > 0], 1)
             np.add.at(edge, (at + runs + width - 1)[runs > 0], -1)
             for left in range(reach + 1):
@@ -374,14 +392,16 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
              .mapInArrow(partial(_trees, width=width, prefix=prefix), "doc_id long, text_key long, position int, covered int"))
     hot = write_shared(shared_of(texts.where(F.exists("overfull", lambda x: x)), RUNS, True), "runs")
     covered, rest = _settle(hot, "runs")
-    inner = rest.select("doc_id", "text_key", F.explode("places").alias("p")).select("p.a", "p.b", "doc_id", "text_key", "p.start", "p.n", "p.windows")
+    inner = rest.select("doc_id", "text_key", "starts", F.explode("places").alias("p")).select(
+        "p.a", "p.b", "doc_id", "text_key", F.expr("transform(starts, s -> s + p.off)").alias("starts"), "p.n", "p.windows")
     covered_places, rest = _settle(inner, "places")
-    inner = rest.select("doc_id", "text_key", "start", F.posexplode("windows").alias("i", "w")).select(
-        "w.a", "w.b", "doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"))
+    inner = rest.select("doc_id", "text_key", "starts", F.posexplode("windows").alias("i", "w")).select(
+        "w.a", "w.b", "doc_id", "text_key", F.expr("transform(starts, s -> s + i)").alias("starts"), F.lit(1).alias("n"))
     covered_windows = inner.join(_smallest(inner), ["a", "b"]).where("doc_id > low")
-    long = [c.select("doc_id", "text_key", F.col("start").alias("position"), F.lit(0).alias("covered"), "n") for c in (covered, covered_places, covered_windows)]
-    marks = small.withColumn("n", F.lit(0)).unionByName(long[0]).unionByName(long[1]).unionByName(long[2])
-    marks = marks.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("position", "covered", "n")).alias("marks"))
+    marks = small.select("doc_id", "text_key", F.array("position").alias("positions"), "covered", F.lit(0).alias("n"))
+    for rows in (covered, covered_places, covered_windows):
+        marks = marks.unionByName(rows.select("doc_id", "text_key", F.col("starts").alias("positions"), F.lit(0).alias("covered"), "n"))
+    marks = marks.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("positions", "covered", "n")).alias("marks"))
     cut = texts.select("doc_id", "text_key", "text").join(marks, ["doc_id", "text_key"]).mapInArrow(
         partial(_cut, width=width, prefix=prefix, full=full), "doc_id long, text_key long, n_removed long, kept_sha256 string, kept_text string")
     return records.join(firsts.select("sha", F.col("first.doc_id").alias("first"), F.col("first.text_key").alias("first_key")), "sha", "left"), cut
