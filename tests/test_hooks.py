@@ -212,3 +212,27 @@ def test_chat_history_is_cut_but_keeps_the_window(spark, tmp_path):
     for at in range(0, 25, 2):
         own = [r.content for r in sorted(got, key=lambda r: r.pos) if r.at_turn == at][1:]
         assert own == [f"m{i}" for i in range(max(0, at - 3), at + 1)]
+
+
+# -- builders -------------------------------------------------------------------------
+
+def test_builders_by_name_guard_and_smoke(spark):
+    from trainloom.config import JobParams
+    from trainloom.operators.builders import build
+    rows = spark.range(500).select("id", F.array(F.struct(F.lit("user").alias("role"), F.col("id").cast("string").alias("content"))).alias("messages"))
+    p = JobParams(general_max_samples=10)
+    smoke = {r.id for r in build("general_sft", rows, p, smoke=True).collect()}
+    assert len(smoke) == 10 and max(smoke) < 100
+    assert {r.id for r in build("general_sft", rows, p).collect()} != smoke
+    with pytest.raises(RuntimeError, match="general_sft: no rows remain"):
+        build("general_sft", rows.limit(0), p)
+    with pytest.raises(KeyError, match="unknown dataset 'chat'"):
+        build("chat", rows)
+
+
+def test_rows_of_chosen_keys_equal_the_seeded_cap(spark):
+    from trainloom.operators.sampling import chosen_rows, seeded_cap
+    df = spark.range(300).select(F.when(F.col("id") != 7, F.concat(F.lit("k"), F.col("id"))).alias("key"), (F.col("id") * 2).alias("v")).repartition(5)
+    for n in (None, 0, 1, 40, 1_000):
+        assert sorted(map(str, chosen_rows(df, "key", n).collect())) == sorted(map(str, seeded_cap(df, "key", n).collect()))
+    assert chosen_rows(df, "key", 40, among=df.where("v > 500")).where("v <= 500").count() == 0

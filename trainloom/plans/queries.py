@@ -21,7 +21,6 @@ from trainloom.operators import datasets as DS
 from trainloom.operators import evaluation as EV
 from trainloom.operators import metrics as ME
 from trainloom.operators import scoring as SC
-from trainloom.operators.sampling import seeded_cap
 from trainloom.plans.derived import PROBE_FAILED_SQL, Derived
 from trainloom.sources.catalog import smoke_slice
 from trainloom.sources.shared import materialise

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trainloom.session import ensure_checkpoint_dir
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -34,13 +35,18 @@ def delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB (map and list states need it)."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    """Streams started inside keep their state in RocksDB (map and list states need it), in at most
+    two partitions per core: each one is a store of its own."""
+    cores = spark.sparkContext.defaultParallelism
+    wanted = {_PROVIDER: ROCKSDB, _PARTITIONS: str(min(int(spark.conf.get(_PARTITIONS)), 2 * cores))}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def drain(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -59,6 +65,6 @@ def as_stream(df: DataFrame, name: str, batches: int = 3, by: str | None = None)
     """``df`` as a file stream that comes in about ``batches`` micro-batches; rows are dealt to
     files by the value of ``by``, or evenly."""
     spark = df.sparkSession
-    path, files = shared_path(spark, name), max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path, files = shared_path(spark, name), max(batches, int(spark.conf.get(_PARTITIONS)))
     df.repartition(files, *([by] if by else [])).write.parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)
