@@ -3,7 +3,6 @@ shared checkpoint folder and read its result back."""
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,16 +187,21 @@ def q_reply_lengths_batched(spark: SparkSession, sf: str) -> DataFrame:
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers  # only these two queries need the package
+    return public_tokenizers.path(TOKENIZER)
+
+
 def q_sft_records_exact(spark: SparkSession, sf: str) -> DataFrame:
     """M10 + F3 + P3: every conversation whose rendered text has at most 512 tokens."""
-    out = DS.sft_records_exact(Derived(spark, sf).table("conversations"), public_tokenizers.path(TOKENIZER), max_tokens=512)
+    out = DS.sft_records_exact(Derived(spark, sf).table("conversations"), tokenizer_path(), max_tokens=512)
     return out.withColumn("n_messages", F.col("n_messages").cast("bigint"))
 
 
 def q_sft_token_mask(spark: SparkSession, sf: str) -> DataFrame:
     """The ranges of tokens that each conversation is learned from."""
     recs = CV.to_messages(Derived(spark, sf).table("conversations")).withColumn("messages", M.ensure_system("messages"))
-    mask = token_mask(M.render_chat("messages"), learned_characters("messages"), public_tokenizers.path(TOKENIZER))
+    mask = token_mask(M.render_chat("messages"), learned_characters("messages"), tokenizer_path())
     out = recs.select("conv_id", mask.alias("m"))
     return out.select("conv_id", "m.n_tokens", F.posexplode("m.learned").alias("pos", "r")).select(
         "conv_id", "n_tokens", F.col("pos").cast("bigint").alias("pos"), "r.start", "r.stop")
