@@ -28,7 +28,7 @@ def dedup_outcomes(outcomes: DataFrame, keys=("task_id", "sample_ix", "test_ix")
 
 
 def pass_fraction(candidates: DataFrame, outcomes: DataFrame, tests_col: str = "tests",
-                  keys=CANDIDATE_KEYS, first_ix=0) -> DataFrame:
+                  keys=CANDIDATE_KEYS, first_ix=0, keep: tuple[str, ...] = ()) -> DataFrame:
     """J4 + A1: every candidate runs every test of its list; a missing outcome
     counts as a failure, a test reported twice as one; no tests -> 0.0.
 
@@ -36,14 +36,14 @@ def pass_fraction(candidates: DataFrame, outcomes: DataFrame, tests_col: str = "
     task's whole list, which outcomes are numbered by. Verdicts are combined to
     one set of passed places per candidate (a task's tests are few) before the join.
 
-    Returns the candidate keys with ``n_tests``, ``n_passed`` and ``frac``.
+    Returns the candidate keys, the columns ``keep`` of the candidates, ``n_tests``, ``n_passed`` and ``frac``.
     """
     first = F.col(first_ix) if isinstance(first_ix, str) else F.lit(first_ix)
-    wanted = candidates.select(*keys, F.size(F.col(tests_col)).alias("n_tests"), first.alias("first_ix"))
+    wanted = candidates.select(*keys, *keep, F.size(F.col(tests_col)).alias("n_tests"), first.alias("first_ix"))
     passed = outcomes.filter(F.col("passed")).groupBy(*keys).agg(F.collect_set(F.col("test_ix").cast("int")).alias("at"))
     ran = F.filter(F.coalesce(F.col("at"), F.array().cast("array<int>")),
                    lambda i: (i >= F.col("first_ix")) & (i < F.col("first_ix") + F.col("n_tests")))
-    out = wanted.join(passed, list(keys), "left").select(*keys, "n_tests", F.size(ran).alias("n_passed"))
+    out = wanted.join(passed, list(keys), "left").select(*keys, *keep, "n_tests", F.size(ran).alias("n_passed"))
     frac = F.when(F.col("n_tests") > 0, F.col("n_passed") / F.col("n_tests")).otherwise(F.lit(0.0))
     return out.withColumn("frac", frac)
 

@@ -55,13 +55,16 @@ FROM {{orders}}
 _P = _s("l_partkey")
 _Q = _s("l_suppkey")
 
+_TASK = f"'o' || {_s('l_orderkey')}"
+_RANK = "CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INT)"
+
 # rollouts: one completion per line item; the order is the prompt (task) and
 # the line's rank inside its order is the generation index.
 ROLLOUTS_SQL = f"""
 SELECT 'r1' AS run_id,
   CAST(l_orderkey % 200 AS INT) AS step,
-  'o' || {_s("l_orderkey")} AS task_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INT)
+  {_TASK} AS task_id,
+  {_RANK}
     AS sample_ix,
   l_partkey, l_suppkey,
   CASE l_partkey % 6
@@ -204,8 +207,21 @@ class Derived:
         return (t.withColumn("test_list", F.slice(F.array("t1", "t2", "t3"), 1, F.col("n_tests")))
                  .drop("t1", "t2", "t3"))
 
-    def rollouts(self) -> DataFrame:
-        return self._sql(ROLLOUTS_SQL, lineitem="lineitem")
+    def rollout_keys(self) -> DataFrame:
+        """Line items as (task_id, sample_ix) with the numbers that a rollout is made of, spread by
+        task_id. Every use shuffles the same columns, so that one shuffle serves a plan with several."""
+        lines = self.cat.table("lineitem").select(F.expr(_TASK).alias("task_id"), "l_linenumber", "l_partkey", "l_suppkey").repartition("task_id")
+        rank = _RANK.replace("PARTITION BY l_orderkey", "PARTITION BY task_id")
+        return lines.select("task_id", F.expr(rank).alias("sample_ix"), "l_partkey", "l_suppkey")
+
+    def rollouts(self, keys: DataFrame | None = None) -> DataFrame:
+        """``ROLLOUTS_SQL``, its texts written when the ranks are known, so that only keys and
+        numbers are shuffled. ``keys`` are rows of ``rollout_keys``; further columns of theirs are kept."""
+        keys = self.rollout_keys() if keys is None else keys
+        more = "".join(f", {c}" for c in keys.columns if c not in ("task_id", "sample_ix", "l_partkey", "l_suppkey"))
+        text = (ROLLOUTS_SQL.replace(f"{_TASK} AS task_id", "task_id").replace(f"{_RANK}\n    AS sample_ix", "sample_ix")
+                .replace("FROM {lineitem}", f"{more} FROM {{lineitem}}"))
+        return self.spark.sql(text, lineitem=keys.withColumn("l_orderkey", F.expr("CAST(substring(task_id, 2) AS BIGINT)")))
 
     def outcomes(self, rollouts: DataFrame | None = None) -> DataFrame:
         r = rollouts if rollouts is not None else self.rollouts()

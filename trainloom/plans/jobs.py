@@ -73,7 +73,8 @@ def q_rollout_log(spark: SparkSession, sf: str) -> DataFrame:
 def q_metrics_log(spark: SparkSession, sf: str) -> DataFrame:
     """Step records appended by two jobs, one of them run twice and one without rows."""
     log = BatchLog(shared_path(spark, "metrics-log"))
-    metrics = Q._step_metrics(Derived(spark, sf))
+    # One row per step, appended four times: computed once.
+    metrics = materialise(Q._step_metrics(Derived(spark, sf)), "step-metrics")
     for job, part in ((0, "step % 2 = 0"), (1, "step % 2 = 1"), (1, "step % 2 = 1"), (2, "step < 0")):
         log.write(metrics.where(part), job)
     return _metric_columns(log.read(spark, STEP_METRICS_SCHEMA))
