@@ -56,7 +56,7 @@ def q_step_metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
 def q_rollout_log(spark: SparkSession, sf: str) -> DataFrame:
     """S3: every rollout appended to the log by a stream; its first batch is delivered twice."""
     path = shared_path(spark, "rollout-log")
-    log = BatchLog(f"{path}/log", "stream")
+    log = BatchLog(f"{path}/log", "stream", compression="gzip")
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         log.write(batch, batch_id)

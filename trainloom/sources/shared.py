@@ -63,8 +63,19 @@ def drain(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 def as_stream(df: DataFrame, name: str, batches: int = 3, by: str | None = None) -> DataFrame:
     """``df`` as a file stream that comes in about ``batches`` micro-batches; rows are dealt to
-    files by the value of ``by``, or evenly."""
+    files by the value of ``by``, or stay in the files of their partitions. Only a table of
+    fewer files than ``batches`` is then dealt out evenly."""
     spark = df.sparkSession
     path, files = shared_path(spark, name), max(batches, int(spark.conf.get(_PARTITIONS)))
-    df.repartition(files, *([by] if by else [])).write.parquet(path)
+    if by:
+        df.repartition(files, by).write.parquet(path)
+    else:
+        df.write.parquet(path)
+        table = spark.read.schema(df.schema).parquet(path)
+        written = len(table.inputFiles())
+        if written < batches:
+            path = shared_path(spark, name)
+            table.repartition(files).write.parquet(path)
+        else:
+            files = written
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(path)

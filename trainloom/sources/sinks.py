@@ -14,15 +14,17 @@ class BatchLog:
     A batch is written below ``source=<name>/batch=<id>`` and replaces what a failed or
     repeated delivery of the same batch left there, so a replay adds nothing. A batch
     without rows leaves no folder; its rows are counted while it is written. ``write``
-    fits ``foreachBatch``; a batch job passes the id of its run.
+    fits ``foreachBatch``; a batch job passes the id of its run. ``compression`` is that of
+    the files (gzip, ...); ``read`` takes logs with or without.
     """
 
-    def __init__(self, path: str, source: str = "job"):
-        self.path, self.source = path.rstrip("/"), source
+    def __init__(self, path: str, source: str = "job", compression: str = "none"):
+        self.path, self.source, self.compression = path.rstrip("/"), source, compression
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         folder, seen = f"{self.path}/source={self.source}/batch={batch_id}", Observation()
-        (batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("ignoreNullFields", "false").json(folder))
+        (batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("ignoreNullFields", "false")
+         .option("compression", self.compression).json(folder))
         if not seen.get["rows"]:
             delete(batch.sparkSession, folder)
 
