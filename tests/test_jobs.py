@@ -2,14 +2,18 @@
 
 import math
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from trainloom.operators import metrics as ME
+from trainloom.plans import jobs
+from trainloom.plans.derived import Derived
 from trainloom.sources.logs import ROLLOUT_LOG_SCHEMA
-from trainloom.sources.shared import drain, rocksdb_state
+from trainloom.sources.shared import as_stream, drain, materialise, rocksdb_state
 from trainloom.sources.sinks import BatchLog, newest_snapshots, snapshot_stream
-from trainloom.streaming.step_state import record_of, stream_step_records
+from trainloom.streaming.step_state import GroupFold, record_of, stream_step_records
 
 ROLL = "step int, task_id string, sample_ix int, test_score double, completion string"
 TIMING = "step int, elapsed_sec double, peak_gb double, n_rollouts long"
@@ -146,3 +150,58 @@ def test_newest_snapshot_of_a_step_wins(spark, tmp_path):
     assert sorted((r.step, r.completion) for r in read().collect()) == [(200, "old"), (200, "older"), (400, "only")]
     put("b/completions_00200.parquet", "new")
     assert sorted((r.step, r.completion) for r in read().collect()) == [(200, "new"), (400, "only")]
+
+
+def test_log_may_be_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("a" * 5000, 0.5), (None, 1.0)], ROLLOUT_LOG_SCHEMA)
+    log = BatchLog(str(tmp_path / "log"), compression="gzip")
+    log.write(rows, 0)
+    log.write(rows, 0)
+    files = [f for f in (tmp_path / "log").rglob("part-*")]
+    assert files and all(f.name.endswith(".json.gz") and f.stat().st_size < 1000 for f in files)
+    assert sorted(log.read(spark, ROLLOUT_LOG_SCHEMA).collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+class Cell:
+    """A value state that counts its reads and writes."""
+
+    def __init__(self):
+        self.value, self.reads, self.writes = None, 0, 0
+
+    def get(self):
+        self.reads += 1
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+
+def test_bucket_state_is_read_and_written_once_a_batch():
+    fold, cell = GroupFold(4, 500.0, None), Cell()
+    fold.init(type("Handle", (), {"getValueState": lambda self, *a: cell})())
+    rows = pd.DataFrame([(f"t{i // 6}", i % 6, 0.5 if i < 6 else i % 3 / 2, 7 * i) for i in range(600)], columns=["task_id", "sample_ix", "score", "chars"])
+    out = []
+    for batch in (rows[300:], rows[:400], rows[10:20]):  # late, repeated in part, repeated as a whole
+        out += [f.iloc[0].to_dict() for f in fold.handleInputRows((1, 2), iter([batch[:70], batch[70:]]), None)]
+    assert len(out) == 2 and (cell.reads, cell.writes) == (3, 2)
+    last = out[-1]
+    assert (last["n"], last["groups"], last["flat_groups"], last["chars_max"]) == (600, 200, 2, 7 * 599)
+    assert last["total"] == pytest.approx(rows.score.sum()) and last["spread"] == pytest.approx(((rows.score - rows.score.mean()) ** 2).sum())
+
+
+def test_rows_of_a_stream_stay_in_the_files_of_their_partitions(spark):
+    df = spark.range(100, numPartitions=5).withColumn("text", F.lit("x"))
+    for rows, files in ((df, 5), (df.coalesce(1), int(spark.conf.get("spark.sql.shuffle.partitions")))):
+        stream = as_stream(rows, "rows")
+        out = drain(stream.withColumn("file", F.col("_metadata.file_path")), "read")
+        assert out.count() == 100 and out.select("file").distinct().count() == files
+
+
+def test_rollouts_shuffle_keys_and_metrics_are_graded_once(spark, monkeypatch):
+    rollouts = Derived(spark, SF).rollouts()
+    shuffled = rollouts._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[0]
+    assert "Window" in shuffled and "pad " in shuffled.split("Window")[0] and "pad " not in shuffled.split("Window")[1]
+    names = []
+    monkeypatch.setattr(jobs, "materialise", lambda df, name: names.append(name) or materialise(df, name))
+    log = jobs.q_metrics_log(spark, SF)
+    assert names == ["step-metrics"] and log.count() == log.select("step").distinct().count() > 0

@@ -1,8 +1,9 @@
 """T2 as a keyed state machine of two levels, in RocksDB.
 
 Level 1 is keyed by (step, bucket): rollout groups are spread over buckets, so the rows
-of one step never meet in one key. A map state holds a few numbers per group, a value
-state the summary of the bucket. Each micro-batch with news passes the summary on.
+of one step never meet in one key. One value state holds the bucket's summary and, packed
+as an Arrow table, the samples it has seen; a micro-batch reads and writes it once per
+bucket, not once per group, and folds whole columns. With news it passes the summary on.
 
 Level 2 is keyed by step and folds one summary per bucket, a fixed number, with the
 step's timing row (step, elapsed_sec, peak_gb). Rollouts may come after it: with a
@@ -20,6 +21,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -35,8 +39,31 @@ RECORD = ("step int, reward_mean double, reward_std double, zero_variance_groups
           "sec_per_step double, peak_vram_gb double")
 
 
-def _is_flat(n: int, lo: float, hi: float) -> bool:
-    return n > 1 and hi - lo < C.ZERO_VARIANCE_EPS
+_SAMPLES = pa.schema([("task_id", pa.string()), ("sample_ix", pa.int64()), ("score", pa.float64())])
+
+
+def _packed(samples: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _SAMPLES, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(pa.Table.from_pandas(samples, _SAMPLES, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(samples: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(samples).read_all().to_pandas()
+
+
+def _added(s: dict, new: pd.DataFrame, truncated_from: float) -> dict:
+    """The summary ``s`` with the samples ``new``, apart from the counts of groups."""
+    score, chars = new["score"].to_numpy(), new["chars"].to_numpy()
+    n, total = s["n"] + len(score), s["total"] + score.sum()
+    mean = score.sum() / len(score)
+    spread = s["spread"] + ((score - mean) ** 2).sum()
+    if s["n"]:
+        spread += (mean - s["total"] / s["n"]) ** 2 * s["n"] * len(score) / n
+    return {"n": n, "groups": s["groups"], "flat_groups": s["flat_groups"], "lo": float(np.fmin.reduce(score, initial=s["lo"])),
+            "hi": float(np.fmax.reduce(score, initial=s["hi"])), "total": float(total), "spread": float(spread), "chars": s["chars"] + int(chars.sum()),
+            "chars_max": max(s["chars_max"], int(chars.max())), "truncated": s["truncated"] + int((chars / 4.0 >= truncated_from).sum())}
 
 
 class GroupFold(StatefulProcessor):
@@ -46,42 +73,29 @@ class GroupFold(StatefulProcessor):
         self.group_size, self.truncated_from, self.ttl_ms = group_size, truncated_from, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # ``seen`` has one bit for each sample of the group.
-        self.groups = handle.getMapState("groups", "task_id string, grp long", "n int, lo double, hi double, seen binary", self.ttl_ms)
-        self.summary = handle.getValueState("summary", SUMMARY, self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
-        new: dict[tuple, list] = {}
-        for r in rows:
-            new.setdefault((r.task_id, r.sample_ix // self.group_size), []).append((r.sample_ix % self.group_size, r.score, r.chars))
-        held = self.summary.get()
-        s = dict(zip(_SUMMARY, held)) if held else {"n": 0, "groups": 0, "flat_groups": 0, "lo": math.inf, "hi": -math.inf, "total": 0.0, "spread": 0.0, "chars": 0, "chars_max": 0, "truncated": 0}
-        before = s["n"]
-        for group, samples in new.items():
-            held = self.groups.getValue(group)
-            n, lo, hi, seen = (held[0], held[1], held[2], int.from_bytes(held[3], "big")) if held else (0, math.inf, -math.inf, 0)
-            was, was_flat = n, _is_flat(n, lo, hi)
-            for place, score, chars in samples:
-                if seen >> place & 1:
-                    continue
-                seen |= 1 << place
-                n, lo, hi = n + 1, min(lo, score), max(hi, score)
-                # Squared deviations from the running mean stay exact for equal scores.
-                off = score - s["total"] / s["n"] if s["n"] else 0.0
-                s["n"] += 1
-                s["total"] += score
-                s["spread"] += off * (score - s["total"] / s["n"])
-                s["lo"], s["hi"] = min(s["lo"], score), max(s["hi"], score)
-                s["chars"] += chars
-                s["chars_max"] = max(s["chars_max"], chars)
-                s["truncated"] += chars / 4.0 >= self.truncated_from
-            if n > was:
-                s["groups"] += was == 0
-                s["flat_groups"] += _is_flat(n, lo, hi) - was_flat
-                self.groups.updateValue(group, (n, lo, hi, seen.to_bytes(self.group_size // 8 + 1, "big")))
-        if s["n"] > before:
-            self.summary.update(tuple(s[c] for c in _SUMMARY))
-            yield Row(step=key[0], bucket=key[1], **s)
+        self.bucket = handle.getValueState("bucket", f"samples binary, {SUMMARY}", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        # The first delivery of a sample counts.
+        sample = ["task_id", "sample_ix"]
+        new = pd.concat(list(rows), ignore_index=True)[[*sample, "score", "chars"]].drop_duplicates(sample)
+        held = self.bucket.get()
+        if held:
+            seen, s = _unpacked(held[0]), dict(zip(_SUMMARY, held[1:]))
+            both = pd.concat([seen, new], ignore_index=True)
+            new = both[~both.duplicated(sample)].iloc[len(seen):]
+            if not len(new):
+                return
+            samples = pd.concat([seen, new[seen.columns]], ignore_index=True)
+        else:
+            s = {"n": 0, "groups": 0, "flat_groups": 0, "lo": math.inf, "hi": -math.inf, "total": 0.0, "spread": 0.0, "chars": 0, "chars_max": 0, "truncated": 0}
+            samples = new[[f.name for f in _SAMPLES]]
+        s = _added(s, new, self.truncated_from)
+        groups = samples.groupby(["task_id", samples["sample_ix"] // self.group_size], sort=False)["score"].agg(["size", "min", "max"])
+        s["groups"] = len(groups)
+        s["flat_groups"] = int(((groups["size"] > 1) & (groups["max"] - groups["min"] < C.ZERO_VARIANCE_EPS)).sum())
+        self.bucket.update((_packed(samples), *(s[c] for c in _SUMMARY)))
+        yield pd.DataFrame([(key[0], key[1], *(s[c] for c in _SUMMARY))], columns=["step", "bucket", *_SUMMARY])
 
     def close(self) -> None:
         pass
@@ -154,7 +168,7 @@ def stream_step_records(rollouts: DataFrame, timing: DataFrame, n: int = C.NUM_G
         F.col("sample_ix").cast("long").alias("sample_ix"), F.col("test_score").cast("double").alias("score"), chars.alias("chars"))
     bucket = F.pmod(F.xxhash64("task_id", F.floor(F.col("sample_ix") / n)), F.lit(buckets)).cast("int")
     fold = GroupFold(n, max_completion_length * C.TRUNCATION_FRACTION, ttl_ms)
-    summaries = rows.withColumn("bucket", bucket).groupBy("step", "bucket").transformWithState(fold, BUCKET_ROWS, "append", mode)
+    summaries = rows.withColumn("bucket", bucket).groupBy("step", "bucket").transformWithStateInPandas(fold, BUCKET_ROWS, "append", mode)
     expected = F.col("n_rollouts") if "n_rollouts" in timing.columns else F.lit(None)
     ends = timing.where("step is not null").select(
         F.col("step").cast("int").alias("step"), F.col("elapsed_sec").cast("double").alias("elapsed"),
