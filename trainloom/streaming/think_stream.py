@@ -12,7 +12,10 @@ import json
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -63,15 +66,45 @@ def chunk_text(text, size) -> Column:
     return F.when(F.length(t) == 0, F.array(F.lit(""))).otherwise(pieces)
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of a reply whose numbers follow each other, as one row (reply_id, seq,
+    text, sizes): their text lies in one piece already, so only its ends are looked up."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        reply, seq, chunk = batch.columns
+        same = pc.and_(pc.equal(reply.slice(1), reply.slice(0, len(reply) - 1)), pc.equal(seq.slice(1), pc.add(seq.slice(0, len(seq) - 1), 1)))
+        cut = np.flatnonzero(~same.fill_null(False).to_numpy(zero_copy_only=False)) + 1
+        first = pa.array(np.concatenate([[0], cut]), pa.int64())
+        ends = np.concatenate([[0], cut, [batch.num_rows]])
+        text = chunk.cast(pa.large_string())
+        at = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, 8 * text.offset)[ends]
+        joined = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(np.ascontiguousarray(at)), text.buffers()[2])
+        sizes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.utf8_length(chunk).cast(pa.int32()))
+        yield pa.RecordBatch.from_arrays([reply.take(first), seq.take(first), joined.cast(chunk.type), sizes], ["reply_id", "seq", "text", "sizes"])
+
+
 def split_chunked_replies(chunks: DataFrame) -> DataFrame:
     """Batch form: (reply_id, seq, chunk) -> (reply_id, think, answer).
 
-    A reply is one bounded value: its chunks are gathered, joined in order and
-    split by the batch expressions, all inside the JVM."""
-    pieces = F.sort_array(F.collect_list(F.struct("seq", F.coalesce("chunk", F.lit("")).alias("chunk"))))
+    A reply is one bounded value: its chunks are gathered, joined in order and split by the
+    batch expressions. Chunks that lie beside their successor are joined before the shuffle,
+    which then moves runs of text rather than a row per chunk; where runs of a reply
+    overlap (numbers repeat), they are taken apart again and joined chunk by chunk."""
+    rows = chunks.select("reply_id", F.col("seq").cast("long").alias("seq"), F.coalesce("chunk", F.lit("")).alias("chunk"))
+    runs = rows.mapInArrow(_runs, f"reply_id {rows.schema['reply_id'].dataType.simpleString()}, seq long, text string, sizes array<int>")
+    whole = runs.groupBy("reply_id").agg(F.sort_array(F.collect_list(F.struct("seq", "text", "sizes"))).alias("runs"))
+    ends = F.transform("runs", lambda r: r.getField("seq") + F.size(r.getField("sizes")))
+    apart = F.forall(F.sequence(F.lit(1), F.size("runs") - 1), lambda i: F.coalesce(
+        F.get(F.col("runs.seq"), i) >= F.get(ends, i - 1), F.lit(True)))
+    # A run as its chunks: each starts where the sizes before it end.
+    pieces = F.flatten(F.transform("runs", lambda r: F.transform(r.getField("sizes"), lambda n, i: F.struct(
+        (r.getField("seq") + i).alias("seq"),
+        F.substr(r.getField("text"), F.aggregate(F.slice(r.getField("sizes"), F.lit(1), i), F.lit(1), lambda a, x: a + x), n).alias("chunk")))))
+    joined = F.when((F.size("runs") == 1) | apart, F.array_join(F.col("runs.text"), "")).otherwise(
+        F.array_join(F.transform(F.sort_array(pieces), lambda p: p.getField("chunk")), ""))
     # The split happens above the gather, so the text is joined once per reply.
-    whole = chunks.groupBy("reply_id").agg(pieces.alias("pieces")).select(
-        "reply_id", F.array_join(F.col("pieces.chunk"), "").alias("reply"))
+    whole = whole.select("reply_id", joined.alias("reply"))
     return whole.select("reply_id", think_text("reply").alias("think"), answer_text("reply").alias("answer"))
 
 
