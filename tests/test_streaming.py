@@ -3,6 +3,7 @@ import re
 from functools import partial
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,9 +11,10 @@ from trainloom.functions import text as T
 from trainloom.operators import conversations as CV
 from trainloom.operators import metrics as ME
 from trainloom.streaming.memory import _make_fn as _memory_fn
+from trainloom.streaming.list_state import ThinkProcessor
 from trainloom.streaming.memory import stream_memory
 from trainloom.streaming.step_metrics import _fold, _make_fn, _record, stream_step_metrics
-from trainloom.streaming.think_stream import ThinkSplitter, _stream_group, split_chunked_replies, stream_think_split
+from trainloom.streaming.think_stream import ThinkSplitter, _runs, _stream_group, split_chunked_replies, stream_think_split
 
 SEG = re.compile(r"<think>(.*?)(?:</think>|\Z)", re.S)
 
@@ -68,6 +70,23 @@ def test_batch_chunked_equals_regex(spark):
     assert out == exp
 
 
+def test_chunks_of_any_order_and_repeated_numbers_are_joined_by_number(spark):
+    rows = [("a", 1, "é<th"), ("a", 2, "ink>x"), ("b", 0, "b0"), ("a", 0, "0"), ("a", 3, None), ("b", 2, "b2"), ("b", 1, ""),
+            ("c", 0, "pü"), ("c", 1, "q"), ("c", 2, "r"), ("c", 0, "P"), ("c", 1, "Q"), ("c", None, "n"), (None, 0, "z"), (None, 1, "y"), ("d", 0, "")]
+    want = {"a": ("x", "0é"), "b": ("", "b0b2"), "c": ("", "nPpüQqr"), None: ("", "zy"), "d": ("", "")}
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "reply_id string, seq int, chunk string").repartition(parts, "chunk") if parts > 1 else \
+            spark.createDataFrame(rows, "reply_id string, seq int, chunk string").coalesce(1)
+        assert {r.reply_id: (r.think, r.answer) for r in split_chunked_replies(df).collect()} == want
+
+
+def test_chunks_that_lie_together_are_shuffled_as_one_row(spark):
+    table = pa.record_batch({"r": ["a"] * 4 + ["b"] * 2, "s": [0, 1, 2, 4, 5, 6], "c": ["x", "é", "", "y", "z", "w"]})
+    out = [r for part in (table, table.slice(1, 3)) for b in _runs(iter([part])) for r in b.to_pylist()]
+    assert [(r["reply_id"], r["seq"], r["text"], r["sizes"]) for r in out] == [
+        ("a", 0, "xé", [1, 1, 0]), ("a", 4, "y", [1]), ("b", 5, "zw", [1, 1]), ("a", 1, "é", [1, 0]), ("a", 4, "y", [1])]
+
+
 def _run_stream(spark, df_stream, name):
     q = df_stream.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
@@ -168,6 +187,45 @@ def test_think_stream_idle_reply_is_closed_with_all_it_holds():
     assert "".join(r[3] for r in rest) == "abef" and rest[-1][4] and not state.exists
 
 
+class StateCell:
+    """Value or list state of one key that counts its calls."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    put = update
+
+    def appendList(self, rows):
+        self.calls, self.value = self.calls + 1, [*(self.value or []), *rows]
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+
+@pytest.mark.parametrize("chunks, asks_list", [(20, False), (100, True)])
+def test_early_chunks_wait_in_the_value_while_they_are_few(chunks, asks_list):
+    value, early = StateCell(), StateCell()
+    fold = ThinkProcessor(0, None)
+    fold.init(type("Handle", (), {"getValueState": lambda self, *a: value, "getListState": lambda self, *a: early})())
+    rows = [("r", i, f"<think>{i}</think>{i};", i == chunks - 1) for i in range(chunks)]
+    again = [("r", 7, "other", False)]
+    out, half = [], chunks // 2
+    for batch in (rows[half:], again + rows[1:half], [], rows[:1], rows[:5]):
+        out += fold.handleInputRows(("r",), iter(batch), None) if batch else []
+    at7 = "other" if half > 7 else "<think>7</think>7;"
+    want = batch_split("".join(at7 if i == 7 else r[2] for i, r in enumerate(rows)))
+    assert ("".join(r.text for r in out if r.channel == "think"), "".join(r.text for r in out if r.channel == "answer")) == want
+    assert [r.out_seq for r in out] == list(range(len(out))) and out[-1].is_last and value.value[0] is None
+    assert value.calls == 7 and (early.calls > 0) == asks_list and not early.value
+
+
 def _one_file_per_trigger(spark, path, df, parts):
     for i, part in enumerate(parts):
         df.filter(part).coalesce(1).write.parquet(f"{path}/{i}")

@@ -1,5 +1,5 @@
-"""T1 and T3 on list state in RocksDB: what waits and what is remembered is appended,
-not rewritten, and can be evicted by time.
+"""T1 and T3 on list state in RocksDB: what is remembered, and what waits beyond a few rows,
+is appended, not rewritten, and can be evicted by time.
 
 T1 splits streamed reply chunks; T3 keeps bounded chat memory. Both give the same rows as
 ``think_stream`` and ``memory`` on the same input (see there for the rules).
@@ -18,11 +18,15 @@ from trainloom.streaming.memory import OUT_SCHEMA, _answer_only
 from trainloom.streaming.think_stream import SEGMENT_SCHEMA, ThinkSplitter
 
 
+INLINE = 32  # rows that wait in the value itself
+
+
 class _InOrder(StatefulProcessor):
-    """Rows numbered without gaps, taken in order; early ones wait in a list state.
+    """Rows numbered without gaps, taken in order; early ones wait.
 
-    One value per key holds the next number (null: ended), how many rows wait, and what
-    the subclass carries along; it is read and written once per micro-batch.
+    One value per key holds the next number (null: ended), how many rows wait in the list
+    state, the few that came since, and what the subclass carries along; it is read and
+    written once per micro-batch. A key with at most ``INLINE`` rows waiting never asks for its list.
     """
 
     waiting, carried, fresh = "", "", ()
@@ -31,7 +35,7 @@ class _InOrder(StatefulProcessor):
         self.first, self.ttl_ms = first, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.value = handle.getValueState("value", f"next long, waiting long, {self.carried}", self.ttl_ms)
+        self.value = handle.getValueState("value", f"next long, listed long, few array<struct<{self.waiting}>>, {self.carried}", self.ttl_ms)
         self.early = handle.getListState("early", self.waiting, self.ttl_ms)
 
     def take(self, key: tuple, at: int, row: tuple, carry: list, out: list[Row]) -> bool:
@@ -40,7 +44,7 @@ class _InOrder(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
         held = self.value.get()
-        at, waiting, *carry = held or (self.first, 0, *self.fresh)
+        at, listed, few, *carry = held or (self.first, 0, [], *self.fresh)
         new: dict[int, tuple] = {}
         for r in rows:  # the first delivery of a number counts
             if at is not None and r[1] >= at:
@@ -48,23 +52,28 @@ class _InOrder(StatefulProcessor):
         if not new:
             return
         if at not in new:
-            for n, row in sorted(new.items()):
-                self.early.appendValue((n, *row))
-            self.value.update((at, waiting + len(new), *carry))
+            few = [*map(tuple, few), *((n, *row) for n, row in sorted(new.items()))]
+            if len(few) > INLINE:
+                self.early.appendList(few)
+                listed, few = listed + len(few), []
+            self.value.update((at, listed, few, *carry))
             return
-        if waiting:
-            new |= {row[0]: tuple(row[1:]) for row in reversed(list(self.early.get())) if row[0] >= at}
-            self.early.clear()
+        # The list's rows came before the few.
+        new |= {row[0]: tuple(row[1:]) for row in reversed([*(self.early.get() if listed else ()), *few]) if row[0] >= at}
         out: list[Row] = []
         while at in new:
             if not self.take(key, at, new.pop(at), carry, out):
-                self.value.update((None, 0, *self.fresh))
+                at, new, carry = None, {}, self.fresh
                 break
             at += 1
+        few = [(n, *row) for n, row in sorted(new.items())]
+        if len(few) > INLINE:
+            self.early.put(few)
+            self.value.update((at, len(few), [], *carry))
         else:
-            if new:
-                self.early.put([(n, *row) for n, row in sorted(new.items())])
-            self.value.update((at, len(new), *carry))
+            if listed:
+                self.early.clear()
+            self.value.update((at, 0, few, *carry))
         yield from out
 
     def close(self) -> None:
