@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from trainloom.operators import metrics as ME
-from trainloom.plans import jobs
+from trainloom.plans import jobs, queries
 from trainloom.plans.derived import Derived
 from trainloom.sources.logs import ROLLOUT_LOG_SCHEMA
 from trainloom.sources.shared import as_stream, drain, materialise, rocksdb_state
@@ -205,3 +205,11 @@ def test_rollouts_shuffle_keys_and_metrics_are_graded_once(spark, monkeypatch):
     monkeypatch.setattr(jobs, "materialise", lambda df, name: names.append(name) or materialise(df, name))
     log = jobs.q_metrics_log(spark, SF)
     assert names == ["step-metrics"] and log.count() == log.select("step").distinct().count() > 0
+
+
+def test_texts_of_rollouts_are_written_above_the_joins(spark):
+    d = Derived(spark, SF)
+    for graded in (queries._attempts(d), queries._candidates(d)):
+        plan = graded._jdf.queryExecution().optimizedPlan().toString()
+        above, _, below = plan.partition("Join ")
+        assert below and "pad " in above and "pad " not in below
