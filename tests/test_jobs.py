@@ -1,6 +1,7 @@
 """Streams, sinks and snapshots over several deliveries, restarts and replays."""
 
 import math
+import re
 
 import pandas as pd
 import pytest
@@ -213,3 +214,19 @@ def test_texts_of_rollouts_are_written_above_the_joins(spark):
         plan = graded._jdf.queryExecution().optimizedPlan().toString()
         above, _, below = plan.partition("Join ")
         assert below and "pad " in above and "pad " not in below
+
+
+def _spread(df):
+    """What the rows of each shuffle of the plan are spread by."""
+    return re.findall(r"Exchange hashpartitioning\((.+?), \d+\)", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_grading_and_transcripts_stay_where_their_task_is(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = _spread(queries.q_revise_transcript(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Lines for the candidates and for the verdicts (one shuffle, read twice) and four narrow task tables.
+    assert len(spread) == 6 and set(spread) == {"task_id"}

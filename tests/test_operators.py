@@ -74,6 +74,17 @@ def test_pass_fraction_of_a_part_of_the_tests(spark):
     assert got == {"t1": (2, 1), "t2": (1, 1)}
 
 
+def test_pass_fraction_of_repeated_and_null_keys(spark):
+    cands = spark.createDataFrame([("t1", 0, ["a"], 7), ("t1", 0, ["a", "b"], 8), ("t1", None, ["a"], 9), (None, 0, ["a"], 10), ("t2", 1, None, 11)],
+                                  "task_id string, sample_ix int, tests array<string>, n int")
+    outs = spark.createDataFrame([("t1", 0, 0, True), ("t1", 0, 1, None), ("t1", None, 0, True), (None, 0, 0, True), ("t3", 0, 0, True)],
+                                 "task_id string, sample_ix long, test_ix long, passed boolean")
+    out = SC.pass_fraction(cands, outs, keep=("n",))
+    assert [f.dataType.simpleString() for f in out.schema] == ["string", "int", "int", "int", "int", "double"]
+    got = sorted((r.n, r.task_id, r.sample_ix, r.n_tests, r.n_passed, r.frac) for r in out.collect())
+    assert got == [(7, "t1", 0, 1, 1, 1.0), (8, "t1", 0, 2, 1, 0.5), (9, "t1", None, 1, 0, 0.0), (10, None, 0, 1, 0, 0.0), (11, "t2", 1, None, 0, 0.0)]
+
+
 def test_pass_at_1_counts_tasks_without_rollouts(spark):
     from trainloom.operators import evaluation as EV
     tasks = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "task_id string")

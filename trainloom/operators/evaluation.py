@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainloom import config as C
@@ -115,8 +115,8 @@ def revise_transcript(attempts: DataFrame, tasks: DataFrame, max_iters: int = C.
          .withColumn("success", F.coalesce(F.when(F.col("has_tests"), F.col("score") >= 1.0)
                                            .otherwise(F.col("ran_ok")), F.lit(False)))
          .withColumn("obs", T.observation("has_tests", "stderr", "stdout")))
-    first_success = a.groupBy("task_id").agg(F.min(F.when(F.col("success"), F.col("iter"))).alias("stop"))
-    steps = (a.join(first_success, "task_id")
+    stop = F.min(F.when(F.col("success"), F.col("iter"))).over(Window.partitionBy("task_id"))
+    steps = (a.withColumn("stop", stop)
              .filter(F.col("stop").isNull() | (F.col("iter") <= F.col("stop")))
              .groupBy("task_id")
              .agg(F.sort_array(F.collect_list(F.struct("iter", "reply", "obs", "success"))).alias("steps")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trainloom import config as C
@@ -33,19 +33,42 @@ def pass_fraction(candidates: DataFrame, outcomes: DataFrame, tests_col: str = "
     counts as a failure, a test reported twice as one; no tests -> 0.0.
 
     ``first_ix`` (number or column) is the place of the list's first test in the
-    task's whole list, which outcomes are numbered by. Verdicts are combined to
-    one set of passed places per candidate (a task's tests are few) before the join.
+    task's whole list, which outcomes are numbered by.
 
     Returns the candidate keys, the columns ``keep`` of the candidates, ``n_tests``, ``n_passed`` and ``frac``.
     """
     first = F.col(first_ix) if isinstance(first_ix, str) else F.lit(first_ix)
-    wanted = candidates.select(*keys, *keep, F.size(F.col(tests_col)).alias("n_tests"), first.alias("first_ix"))
-    passed = outcomes.filter(F.col("passed")).groupBy(*keys).agg(F.collect_set(F.col("test_ix").cast("int")).alias("at"))
-    ran = F.filter(F.coalesce(F.col("at"), F.array().cast("array<int>")),
-                   lambda i: (i >= F.col("first_ix")) & (i < F.col("first_ix") + F.col("n_tests")))
-    out = wanted.join(passed, list(keys), "left").select(*keys, *keep, "n_tests", F.size(ran).alias("n_passed"))
-    frac = F.when(F.col("n_tests") > 0, F.col("n_passed") / F.col("n_tests")).otherwise(F.lit(0.0))
-    return out.withColumn("frac", frac)
+    rows = candidates.select(*keys, *keep, F.size(F.col(tests_col)).alias("n_tests"), first.alias("first_ix"))
+    out = passed_places(rows, outcomes, keys)
+    return out.select(*keys, *keep, "n_tests", passed_between("at", "first_ix", "n_tests").alias("n_passed")) \
+        .withColumn("frac", fraction("n_passed", "n_tests"))
+
+
+def passed_places(candidates: DataFrame, outcomes: DataFrame, keys=CANDIDATE_KEYS) -> DataFrame:
+    """``candidates`` with ``at``, the places of the tests that each one passed (a task's tests are few).
+
+    Candidates and verdicts are rows of one window, not sides of a join: a join on all keys
+    would shuffle tables that are already spread by one of them (the task)."""
+    known = F.col("passed")
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    verdicts = outcomes.filter(known).select(*keys, F.col("test_ix").cast("int").alias("_test_ix"))
+    rows = candidates.withColumn("_wanted", F.lit(True)).unionByName(verdicts, allowMissingColumns=True)
+    at = F.collect_set("_test_ix").over(Window.partitionBy(*keys))
+    types = {f.name: f.dataType for f in candidates.schema}
+    return (rows.withColumn("at", at).filter("_wanted")
+            .select(*[F.col(c).cast(types[c]).alias(c) for c in candidates.columns], "at"))
+
+
+def passed_between(at, first, n) -> Column:
+    """How many of the places ``at`` belong to the ``n`` tests from place ``first`` on."""
+    at, first, n = T.col_(at), T.col_(first), T.col_(n)
+    return F.size(F.filter(at, lambda i: (i >= first) & (i < first + n)))
+
+
+def fraction(n_passed, n_tests) -> Column:
+    n_passed, n_tests = T.col_(n_passed), T.col_(n_tests)
+    return F.when(n_tests > 0, n_passed / n_tests).otherwise(F.lit(0.0))
 
 
 def correctness_reward(frac) -> Column:
