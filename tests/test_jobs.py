@@ -230,3 +230,19 @@ def test_grading_and_transcripts_stay_where_their_task_is(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # Lines for the candidates and for the verdicts (one shuffle, read twice) and four narrow task tables.
     assert len(spread) == 6 and set(spread) == {"task_id"}
+
+
+def test_pass_at_1_grades_rollouts_once_and_keeps_numbers(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(queries, "materialise", lambda df, name: kept.append(df) or materialise(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = queries.q_pass_at_1(spark, SF)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        graded, = kept
+        assert set(_spread(graded)) == {"task_id"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert dict(graded.dtypes)["passed"] == "boolean" and [c for c, t in graded.dtypes if t == "string"] == ["task_id"]
+    assert "l_linenumber" not in plan and out.count() == 3

@@ -85,6 +85,26 @@ def test_pass_fraction_of_repeated_and_null_keys(spark):
     assert got == [(7, "t1", 0, 1, 1, 1.0), (8, "t1", 0, 2, 1, 0.5), (9, "t1", None, 1, 0, 0.0), (10, None, 0, 1, 0, 0.0), (11, "t2", 1, None, 0, 0.0)]
 
 
+def test_pass_fractions_of_two_lists(spark):
+    cands = spark.createDataFrame([("t1", 0, ["a"], ["b", "c"], 1), ("t1", 1, ["a"], ["b", "c"], 1), ("t2", 0, [], [], 0)],
+                                  "task_id string, sample_ix int, public array<string>, hidden array<string>, first int")
+    outs = spark.createDataFrame([("t1", 0, 0, True), ("t1", 0, 2, True), ("t1", 1, 1, True), ("t1", 1, 2, True), ("t2", 0, 0, True)],
+                                 "task_id string, sample_ix int, test_ix int, passed boolean")
+    out = SC.pass_fractions(cands, outs, {"p_": ("public", 0), "h_": ("hidden", "first")})
+    got = {(r.task_id, r.sample_ix): (r.p_n_passed, r.p_frac, r.h_n_tests, r.h_frac) for r in out.collect()}
+    assert got == {("t1", 0): (1, 1.0, 2, 0.5), ("t1", 1): (0, 0.0, 2, 1.0), ("t2", 0): (0, 0.0, 0, 0.0)}
+
+
+def test_the_chosen_attempt_needs_no_text(spark):
+    att = spark.createDataFrame([("a", 0, "", 0.5, True), ("a", 1, "x", 0.0, True), ("b", 0, None, 0.0, False), ("c", 1, "y", 1.0, True)],
+                                "task_id string, iter int, code string, score double, ran_ok boolean")
+    has = spark.createDataFrame([("a", True), ("b", True), ("c", True)], "task_id string, has_tests boolean")
+    out = EV.best_attempt(att, has, with_iter=True).select("task_id", "chosen_iter")
+    assert {r.task_id: r.chosen_iter for r in out.collect()} == {"a": 1, "b": 0, "c": 1}
+    joined = out._jdf.queryExecution().optimizedPlan().toString().split("Join ")[0]
+    assert "has_code" in joined and "max_by(code" not in joined
+
+
 def test_pass_at_1_counts_tasks_without_rollouts(spark):
     from trainloom.operators import evaluation as EV
     tasks = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "task_id string")

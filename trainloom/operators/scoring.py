@@ -37,11 +37,21 @@ def pass_fraction(candidates: DataFrame, outcomes: DataFrame, tests_col: str = "
 
     Returns the candidate keys, the columns ``keep`` of the candidates, ``n_tests``, ``n_passed`` and ``frac``.
     """
-    first = F.col(first_ix) if isinstance(first_ix, str) else F.lit(first_ix)
-    rows = candidates.select(*keys, *keep, F.size(F.col(tests_col)).alias("n_tests"), first.alias("first_ix"))
+    return pass_fractions(candidates, outcomes, {"": (tests_col, first_ix)}, keys, keep)
+
+
+def pass_fractions(candidates: DataFrame, outcomes: DataFrame, lists: dict[str, tuple],
+                   keys=CANDIDATE_KEYS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``pass_fraction`` on several lists of tests at once, verdicts being read once. ``lists``:
+    prefix of the list's result columns -> (its column, place of its first test)."""
+    rows = candidates.select(*keys, *keep, *[c for p, (tests, first) in lists.items() for c in (
+        F.size(F.col(tests)).alias(f"{p}n_tests"), (F.col(first) if isinstance(first, str) else F.lit(first)).alias(f"{p}first_ix"))])
     out = passed_places(rows, outcomes, keys)
-    return out.select(*keys, *keep, "n_tests", passed_between("at", "first_ix", "n_tests").alias("n_passed")) \
-        .withColumn("frac", fraction("n_passed", "n_tests"))
+    for p in lists:
+        n, first = F.col(f"{p}n_tests"), F.col(f"{p}first_ix")
+        out = out.withColumn(f"{p}n_passed", F.size(F.filter("at", lambda i: (i >= first) & (i < first + n))))
+    frac = {p: F.when(F.col(f"{p}n_tests") > 0, F.col(f"{p}n_passed") / F.col(f"{p}n_tests")).otherwise(F.lit(0.0)) for p in lists}
+    return out.select(*keys, *keep, *[c for p in lists for c in (f"{p}n_tests", f"{p}n_passed", frac[p].alias(f"{p}frac"))])
 
 
 def passed_places(candidates: DataFrame, outcomes: DataFrame, keys=CANDIDATE_KEYS) -> DataFrame:
@@ -60,17 +70,6 @@ def passed_places(candidates: DataFrame, outcomes: DataFrame, keys=CANDIDATE_KEY
             .select(*[F.col(c).cast(types[c]).alias(c) for c in candidates.columns], "at"))
 
 
-def passed_between(at, first, n) -> Column:
-    """How many of the places ``at`` belong to the ``n`` tests from place ``first`` on."""
-    at, first, n = T.col_(at), T.col_(first), T.col_(n)
-    return F.size(F.filter(at, lambda i: (i >= first) & (i < first + n)))
-
-
-def fraction(n_passed, n_tests) -> Column:
-    n_passed, n_tests = T.col_(n_passed), T.col_(n_tests)
-    return F.when(n_tests > 0, n_passed / n_tests).otherwise(F.lit(0.0))
-
-
 def correctness_reward(frac) -> Column:
     """A2: 3 x pass fraction (the raw fraction is what gets logged)."""
     return F.lit(C.CORRECTNESS_WEIGHT) * T.col_(frac)
