@@ -90,6 +90,18 @@ def test_word_table_equals_library():
         assert table.encode(t or "") == table._library(t or "")
 
 
+def test_words_with_a_mark_need_no_pattern(monkeypatch):
+    table = wordbpe.ChunkIds(P.path("word_bpe_49k.json"))
+    plain = ["Ciónasbo.", "areonndlyor", "ÜBER,", "(x", "a)", "Ʒª!", "don'", "."]
+    others = ["it's", "'s", "a1", "x--y", "İ.", "a..", "<|", "a²", "Ⱥ;", "e\u0301.", "ÿ\x7f", "\x01"]
+    for t in plain + others:
+        assert table.encode(t) == table._library(t)
+    fresh = wordbpe.ChunkIds(P.path("word_bpe_49k.json"))
+    monkeypatch.setattr(wordbpe, "_PIECES", None)
+    for t in ("Ciónasbo.", "areonndlyor", "ÜBER,", "a)"):
+        assert fresh.encode(t) == table.encode(t)
+
+
 # -- 2 language ----------------------------------------------------------------------
 
 def test_language(spark, docs, awkward, empty):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 
 import numpy as np
@@ -13,6 +14,8 @@ _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Below this code point, text without combining marks is its own composed form.
 _SIMPLE_BELOW = "ɐ"
+# Marks that make a piece of their own behind a word (no contraction follows).
+_MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,15 +57,26 @@ class ChunkIds(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if "<|" in chunk or max(chunk) >= _SIMPLE_BELOW:
+        if not chunk.isascii():
+            if max(chunk) >= _SIMPLE_BELOW:
+                return self._library(chunk)
+            chunk = unicodedata.normalize("NFC", chunk)
+        if "<|" in chunk:
             return self._library(chunk)
-        return b"".join(map(self._piece, _PIECES.findall(unicodedata.normalize("NFC", chunk).lower())))
+        chunk = chunk.lower()
+        # A word, or a word and one mark, needs no pattern.
+        if chunk.isalpha():
+            return self._piece(chunk)
+        if chunk[-1] in _MARKS and (word := chunk[:-1]).isalpha():
+            return self._piece(word) + self._piece(chunk[-1])
+        return b"".join(map(self._piece, _PIECES.findall(chunk)))
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            shown = "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = np.array([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+            shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
+            tokens = [t.id for t in self.model.tokenize(shown)]
+            ids = struct.pack(f"<{len(tokens)}I", *tokens)
             if len(self.pieces) < self.limit and len(piece) <= KEPT_CHARS:
                 self.pieces[piece] = ids
         return ids
