@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from trainloom.functions import text as T
 from trainloom.operators import conversations as CV
 from trainloom.operators import metrics as ME
+from trainloom.plans import queries as Q
+from trainloom.sources.shared import materialise, short_rows
+from trainloom.streaming import think_stream as TS
 from trainloom.streaming.memory import _make_fn as _memory_fn
 from trainloom.streaming.list_state import ThinkProcessor
 from trainloom.streaming.memory import stream_memory
@@ -87,6 +90,42 @@ def test_chunks_that_lie_together_are_shuffled_as_one_row(spark):
         ("a", 0, "xé", [1, 1, 0]), ("a", 4, "y", [1]), ("b", 5, "zw", [1, 1]), ("a", 1, "é", [1, 0]), ("a", 4, "y", [1])]
 
 
+def test_chunk_batches_are_bounded_by_rows_and_the_settings_come_back(spark, monkeypatch):
+    size, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    monkeypatch.setattr(TS, "materialise", lambda df, name: seen.append(materialise(df, name)) or seen[-1])
+    df = spark.createDataFrame([("a", i, "xy") for i in range(300)], "reply_id string, seq int, chunk string").coalesce(1)
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64")  # a batch of a few rows
+    try:
+        assert split_chunked_replies(df).collect() == [("a", "", "xy" * 300)]
+        assert [len(r.sizes) for r in seen[0].collect()] == [300]
+        with pytest.raises(KeyError), short_rows(spark):
+            raise KeyError
+        assert spark.conf.get(size) == "64"
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_replies_are_cut_once_and_exploded_by_compiled_code(spark, monkeypatch, capsys, tmp_path):
+    lines = [(1, 5, 7, 1), (1, 6, 10, 2), (2, 7, 3, 1), (2, 8, 3, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    cut, adaptive = [], "spark.sql.adaptive.enabled"
+    monkeypatch.setattr(Q, "split_chunked_replies", lambda chunks: cut.append(chunks) or split_chunked_replies(chunks))
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")  # an adaptive plan shows no code before it runs
+    try:
+        got = Q.q_think_stream(spark, str(tmp_path))
+        assert sorted(got.collect()) == sorted(Q.q_think_split(spark, str(tmp_path)).collect())
+        assert cut[0]._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+        capsys.readouterr()
+        cut[0].explain("codegen")
+        # The JVM does not compile a method of 8,000 bytes or more.
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set(adaptive, before)
+
+
 def _run_stream(spark, df_stream, name):
     q = df_stream.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)

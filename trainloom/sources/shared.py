@@ -12,6 +12,9 @@ from trainloom.session import ensure_checkpoint_dir
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _PARTITIONS = "spark.sql.shuffle.partitions"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SHORT_ROWS = 4000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -34,11 +37,8 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB (map and list states need it), in at most
-    two partitions per core: each one is a store of its own."""
-    cores = spark.sparkContext.defaultParallelism
-    wanted = {_PROVIDER: ROCKSDB, _PARTITIONS: str(min(int(spark.conf.get(_PARTITIONS)), 2 * cores))}
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """The session has these settings inside, and its own again afterwards."""
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -49,6 +49,25 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@contextmanager
+def short_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand rows to Python in batches bounded by their number alone. Under a limit
+    in bytes Spark sizes the whole batch again for each row, which costs several times the row itself
+    where rows are short; ``SHORT_ROWS`` of them stay far below that limit."""
+    rows = int(spark.conf.get(_BATCH_ROWS))
+    with _settings(spark, {_BATCH_BYTES: str(2**31 - 1), _BATCH_ROWS: str(min(rows, SHORT_ROWS) if rows > 0 else SHORT_ROWS)}):
+        yield
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB (map and list states need it), in at most
+    two partitions per core: each one is a store of its own."""
+    cores = spark.sparkContext.defaultParallelism
+    with _settings(spark, {_PROVIDER: ROCKSDB, _PARTITIONS: str(min(int(spark.conf.get(_PARTITIONS)), 2 * cores))}):
+        yield
+
+
 def drain(stream: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Run ``stream`` over all that its sources hold now, append to a Parquet table, and read
     that back. With ``path``, a later call goes on where the last one stopped."""

@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trainloom import config as C
 from trainloom.functions.text import answer_text, col_, think_text
+from trainloom.sources.shared import materialise, short_rows
 
 HOLD_BACK = max(len(C.THINK_OPEN), len(C.THINK_CLOSE)) - 1
 
@@ -90,9 +91,12 @@ def split_chunked_replies(chunks: DataFrame) -> DataFrame:
     A reply is one bounded value: its chunks are gathered, joined in order and split by the
     batch expressions. Chunks that lie beside their successor are joined before the shuffle,
     which then moves runs of text rather than a row per chunk; where runs of a reply
-    overlap (numbers repeat), they are taken apart again and joined chunk by chunk."""
+    overlap (numbers repeat), they are taken apart again and joined chunk by chunk. The runs are
+    written and read again, since the batches of short rows are a setting of the job that joins them."""
     rows = chunks.select("reply_id", F.col("seq").cast("long").alias("seq"), F.coalesce("chunk", F.lit("")).alias("chunk"))
     runs = rows.mapInArrow(_runs, f"reply_id {rows.schema['reply_id'].dataType.simpleString()}, seq long, text string, sizes array<int>")
+    with short_rows(chunks.sparkSession):
+        runs = materialise(runs, "chunk-runs")
     whole = runs.groupBy("reply_id").agg(F.sort_array(F.collect_list(F.struct("seq", "text", "sizes"))).alias("runs"))
     ends = F.transform("runs", lambda r: r.getField("seq") + F.size(r.getField("sizes")))
     apart = F.forall(F.sequence(F.lit(1), F.size("runs") - 1), lambda i: F.coalesce(
