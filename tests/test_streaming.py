@@ -106,6 +106,16 @@ def test_chunk_batches_are_bounded_by_rows_and_the_settings_come_back(spark, mon
         spark.conf.set(size, before)
 
 
+def test_long_chunks_do_not_pass_through_python(spark, monkeypatch):
+    monkeypatch.setattr(TS, "LONG_CHUNK", 5)
+    seen = []
+    monkeypatch.setattr(TS, "materialise", lambda df, name: seen.append(materialise(df, name)) or seen[-1])
+    rows = [("a", 0, "<thi"), ("a", 1, "nk>é"), ("a", 2, "éé long"), ("a", 3, "x"), ("a", 4, None), ("b", 0, "longest"), ("b", 0, "B"), ("b", 1, "c"), ("b", 0, "m")]
+    df = spark.createDataFrame(rows, "reply_id string, seq int, chunk string").coalesce(1)
+    assert {r.reply_id: (r.think, r.answer) for r in split_chunked_replies(df).collect()} == {"a": ("ééé longx", ""), "b": ("", "Blongestmc")}
+    assert sorted((r.reply_id, r.text, r.sizes) for r in seen[0].collect() if len(r.text) > 5 and r.sizes[0] > 5) == [("a", "éé long", [7]), ("b", "longest", [7])]
+
+
 def test_replies_are_cut_once_and_exploded_by_compiled_code(spark, monkeypatch, capsys, tmp_path):
     lines = [(1, 5, 7, 1), (1, 6, 10, 2), (2, 7, 3, 1), (2, 8, 3, 1)]
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")

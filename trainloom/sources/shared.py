@@ -53,7 +53,7 @@ def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
 def short_rows(spark: SparkSession) -> Iterator[None]:
     """Jobs run inside hand rows to Python in batches bounded by their number alone. Under a limit
     in bytes Spark sizes the whole batch again for each row, which costs several times the row itself
-    where rows are short. ``SHORT_ROWS`` of 16 KB are the 64 MB of that limit; not for rows of 100 KB and more."""
+    where rows are short. ``SHORT_ROWS`` of 16 KB are the 64 MB of that limit; not for longer rows."""
     rows = int(spark.conf.get(_BATCH_ROWS))
     with _settings(spark, {_BATCH_BYTES: str(2**31 - 1), _BATCH_ROWS: str(min(rows, SHORT_ROWS) if rows > 0 else SHORT_ROWS)}):
         yield

@@ -22,9 +22,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trainloom import config as C
 from trainloom.functions.text import answer_text, col_, think_text
-from trainloom.sources.shared import materialise, short_rows
+from trainloom.sources.shared import SHORT_ROWS, materialise, short_rows
 
 HOLD_BACK = max(len(C.THINK_OPEN), len(C.THINK_CLOSE)) - 1
+LONG_CHUNK = (64 << 20) // SHORT_ROWS  # bytes
 
 
 class ThinkSplitter:
@@ -94,9 +95,11 @@ def split_chunked_replies(chunks: DataFrame) -> DataFrame:
     overlap (numbers repeat), they are taken apart again and joined chunk by chunk. The runs are
     written and read again, since the batches of short rows are a setting of the job that joins them."""
     rows = chunks.select("reply_id", F.col("seq").cast("long").alias("seq"), F.coalesce("chunk", F.lit("")).alias("chunk"))
-    runs = rows.mapInArrow(_runs, f"reply_id {rows.schema['reply_id'].dataType.simpleString()}, seq long, text string, sizes array<int>")
+    runs = rows.where(F.octet_length("chunk") <= LONG_CHUNK).mapInArrow(_runs, f"reply_id {rows.schema['reply_id'].dataType.simpleString()}, seq long, text string, sizes array<int>")
+    # A long chunk is a run of its own, made in the JVM: a batch of chunks for Python stays below 64 MB.
+    long = rows.where(F.octet_length("chunk") > LONG_CHUNK).select("reply_id", "seq", F.col("chunk").alias("text"), F.array(F.length("chunk")).alias("sizes"))
     with short_rows(chunks.sparkSession):
-        runs = materialise(runs, "chunk-runs")
+        runs = materialise(runs.union(long), "chunk-runs")
     whole = runs.groupBy("reply_id").agg(F.sort_array(F.collect_list(F.struct("seq", "text", "sizes"))).alias("runs"))
     ends = F.transform("runs", lambda r: r.getField("seq") + F.size(r.getField("sizes")))
     apart = F.forall(F.sequence(F.lit(1), F.size("runs") - 1), lambda i: F.coalesce(
